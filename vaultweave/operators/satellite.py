@@ -48,9 +48,10 @@ def latest_hashdiffs(tgt: DataFrame, spec: SatSpec, as_of: dt.datetime | str | N
             year = as_of.year if isinstance(as_of, dt.datetime) else int(str(as_of)[:4])
             t = t.where(F.col("load_year") <= F.lit(year))
     a = t.groupBy(pk, hd).agg(F.max("load_date").alias("_last"))
-    m = a.groupBy(pk).agg(F.max("_last").alias("_pk_last"))
-    return (a.join(m, (a[pk] == m[pk]) & (a["_last"] == m["_pk_last"]))
-            .select(a[pk].alias(pk), a[hd].alias(hd)))
+    m = a.groupBy(F.col(pk).alias("_m_pk")).agg(F.max("_last").alias("_pk_last"))
+    # equi join on (pk, last load): a hot pk's hash diffs still spread over their own last loads
+    return (a.join(m, (F.col(pk) == F.col("_m_pk")) & (F.col("_last") == F.col("_pk_last")))
+            .select(pk, hd))
 
 
 def sat_rows(stg: DataFrame, tgt: DataFrame | None, spec: SatSpec, load_date: dt.datetime | str) -> DataFrame:
