@@ -18,6 +18,7 @@ re-read, not a recomputation of the hashes.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,35 @@ def in_years(col: str, years: list[int]):
     return cond
 
 
+def read_columns(t) -> list[str]:
+    """Staged columns a target reads (its stored columns plus dedup / distinct-only columns)."""
+    extra = []
+    if isinstance(t, HubSpec) and t.dedup_by:
+        extra = [t.dedup_by]
+    elif isinstance(t, LinkSpec):
+        extra = list(t.also_distinct_on)
+    return target_columns(t) + [c for c in extra if c not in target_columns(t)]
+
+
+def _needed_columns(targets, source: str) -> list[str]:
+    cols: list[str] = []
+    for t in targets:
+        if t.source == source:
+            cols += [c for c in read_columns(t) if c not in cols]
+    return cols
+
+
+def _prepare(staged: DataFrame, targets, source: str, path: str, partition_by: str | None = None) -> DataFrame:
+    """Keep the columns the targets read; write them once when several targets (or a satellite
+    fold, which reads one year at a time) consume the batch, else leave the plan lazy."""
+    users = [t for t in targets if t.source == source]
+    cols = _needed_columns(targets, source) + ([partition_by] if partition_by else [])
+    staged = staged.select(*cols)
+    if len(users) > 1 or any(isinstance(t, SatSpec) for t in users):
+        return materialize(staged, path, partition_by)
+    return staged
+
+
 def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
              year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None) -> None:
     ld = load_date or dt.datetime(year, 1, 1)
@@ -76,7 +106,8 @@ def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
     work = work_dir or new_work_dir(spark, f"year{year}")
     staged = {}
     for name in sorted({t.source for t in targets}):
-        staged[name] = materialize(stage(sources[name], vault.stages[name], year, ld), f"{work}/stage_{name}")
+        s = stage(sources[name], vault.stages[name], year, ld)
+        staged[name] = _prepare(s, targets, name, f"{work}/stage_{name}")
     for t in targets:                                   # hubs, links, satellites: spec order
         stg = staged[t.source]
         schema = stg.select(*target_columns(t)).schema
@@ -90,9 +121,20 @@ def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         store.append(rows, t.name)
 
 
+def _years_of(df: DataFrame) -> set[int]:
+    """Load years of a table written partitioned by load year, from its file paths (no job)."""
+    found = set()
+    for f in df.inputFiles():
+        m = re.search(rf"/{LOAD_YEAR}=(\d+)/", f)
+        if m:
+            found.add(int(m.group(1)))
+    return found
+
+
 def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
              years: list[int] | None = None, only=None, work_dir: str | None = None) -> list[int]:
-    """Load ``years`` (all years in the data when None) in increasing order. Returns the years."""
+    """Load ``years`` (all years in the data when None) in increasing order. Returns the years
+    the satellites were folded over (empty when only hubs and links were selected)."""
     targets = _selected(vault, only)
     work = work_dir or new_work_dir(spark, "backfill")
     staged: dict[str, DataFrame] = {}
@@ -102,14 +144,12 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         if years is not None:
             src = src.where(in_years(spec.time_col, years))
         s = stage(src, spec).withColumn(LOAD_YEAR, F.year("load_date"))
-        staged[name] = materialize(s, f"{work}/stage_{name}", partition_by=LOAD_YEAR)
+        staged[name] = _prepare(s, targets, name, f"{work}/stage_{name}", partition_by=LOAD_YEAR)
     if years is None:
-        found = set()
-        for s in staged.values():
-            found |= {r[0] for r in s.select(LOAD_YEAR).distinct().collect()}   # one row per year
-        years = sorted(found)
+        sat_sources = {t.source for t in targets if isinstance(t, SatSpec)}
+        years = sorted(set().union(*[_years_of(staged[n]) for n in sat_sources])) if sat_sources else []
     years = sorted(set(years))
-    if not years:
+    if not years and any(isinstance(t, SatSpec) for t in targets):
         return years
 
     for t in targets:
@@ -139,8 +179,10 @@ def _backfill_sat(spark: SparkSession, t: SatSpec, staged: DataFrame, tgt: DataF
 
     key_schema = staged.select(t.pk, t.hashdiff).schema
     empty = spark.createDataFrame([], key_schema)
-    state = SatelliteState.from_target(t, tgt, empty)
-    state = SatelliteState(t, materialize(state.latest, f"{work}/state_init"))
+    if tgt is None:
+        state = SatelliteState(t, empty)
+    else:
+        state = SatelliteState(t, materialize(latest_hashdiffs(tgt, t), f"{work}/state_init"))
     for i, y in enumerate(years):
         store.append(state.inserts(candidates(per_year(y), t)), t.name)
         inserted = store.read(t.name, schema).where(F.col(LOAD_YEAR) == y).drop(LOAD_YEAR)

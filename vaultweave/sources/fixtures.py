@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultweave.functions.time import ts_to_epoch_ms
+from vaultweave.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table. Each is a single file with one row group (one scan task), so rows are
+    spread over the session's cores right after the scan; see ``session.spread``."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def payment(spark: SparkSession, sf_dir: str) -> DataFrame:
