@@ -1,7 +1,8 @@
 """Staging: one batch of a source with business keys, hash keys, hash diffs and batch columns.
 
 ``stage(src, spec, year=Y, load_date=D)`` is the yearly view: rows whose time column falls in
-year Y, ``load_date`` = D. ``stage(src, spec)`` stages every year at once: each row gets the run
+year Y, ``load_date`` = D. ``stage(src, spec, load_date=D)`` takes the whole input as one load (a
+streaming micro-batch). ``stage(src, spec)`` stages every year at once: each row gets the run
 date of its own yearly batch (1 January of its year), which is what a year-by-year backfill
 would have given it. Either way this is one projection over a scan; the year filter is a range on
 the raw column, so parquet skips row groups and the rest of the plan stays in one codegen stage.
@@ -29,10 +30,10 @@ def stage(src: DataFrame, spec: StageSpec, year: int | None = None,
         df = df.where(in_year(spec.time_col, year))
         ld = ts_literal(load_date if load_date is not None else dt.datetime(year, 1, 1))
     else:
-        if load_date is not None:
-            raise ValueError("load_date needs a year")
+        # no year filter: the whole input is one load (``load_date`` given, e.g. a micro-batch)
+        # or every row gets its own year's run date
         df = df.where(F.col(spec.time_col).isNotNull())
-        ld = load_date_of(spec.time_col)
+        ld = ts_literal(load_date) if load_date is not None else load_date_of(spec.time_col)
 
     cols = [F.col(c) for c in spec.columns]
     cols += [F.col(src_col).cast("string").alias(key) for key, src_col in spec.keys.items()]

@@ -99,15 +99,9 @@ def _prepare(staged: DataFrame, targets, source: str, path: str, partition_by: s
     return staged
 
 
-def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
-             year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None) -> None:
-    ld = load_date or dt.datetime(year, 1, 1)
-    targets = _selected(vault, only)
-    work = work_dir or new_work_dir(spark, f"year{year}")
-    staged = {}
-    for name in sorted({t.source for t in targets}):
-        s = stage(sources[name], vault.stages[name], year, ld)
-        staged[name] = _prepare(s, targets, name, f"{work}/stage_{name}")
+def run_load(spark: SparkSession, vault: VaultSpec, staged: dict[str, DataFrame], store: TableStore,
+             load_date: dt.datetime, targets) -> None:
+    """Apply one load (staged batches with a single run date) to every target."""
     for t in targets:                                   # hubs, links, satellites: spec order
         stg = staged[t.source]
         schema = stg.select(*target_columns(t)).schema
@@ -117,10 +111,28 @@ def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         elif isinstance(t, LinkSpec):
             rows = link_rows(stg, tgt, t, single_load=True)
         else:
-            rows = sat_rows(stg, tgt, t, ld)
+            rows = sat_rows(stg, tgt, t, load_date)
         store.append(rows, t.name)
 
 
+def stage_load(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], targets, work: str,
+               year: int | None, load_date: dt.datetime) -> dict[str, DataFrame]:
+    staged = {}
+    for name in sorted({t.source for t in targets}):
+        s = stage(sources[name], vault.stages[name], year, load_date)
+        staged[name] = _prepare(s, targets, name, f"{work}/stage_{name}")
+    return staged
+
+
+def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
+             year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None) -> None:
+    """One scheduled yearly run: rows of ``year``, run date ``load_date`` (default 1 January)."""
+    ld = load_date or dt.datetime(year, 1, 1)
+    targets = _selected(vault, only)
+    work = work_dir or new_work_dir(spark, f"year{year}")
+    run_load(spark, vault, stage_load(spark, vault, sources, targets, work, year, ld), store, ld, targets)
+
+
 def _years_of(df: DataFrame) -> set[int]:
     """Load years of a table written partitioned by load year, from its file paths (no job)."""
     found = set()

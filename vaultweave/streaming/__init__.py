@@ -1,0 +1,3 @@
+from vaultweave.streaming.vault_sink import VaultSink
+
+__all__ = ["VaultSink"]
