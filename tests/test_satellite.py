@@ -1,6 +1,6 @@
 from helpers import SAT_SCHEMA, apply_loads, ld, rows_of, sat_batch
 
-from vaultweave.operators.satellite import SatelliteState, latest_hashdiffs, sat_rows
+from vaultweave.operators.satellite import latest_hashdiffs, sat_rows
 from vaultweave.plans.specs import SatSpec
 
 SPEC = SatSpec("sat", "x", "pk", "hd", ("v",))
@@ -44,18 +44,23 @@ def test_latest_matches_brute_force(spark):
     assert set(rows_of(latest_hashdiffs(tgt, SPEC))) == expect
 
 
-def test_state_fold_equals_general_rule(spark):
+def test_key_fold_of_two_satellites_equals_general_rule(spark, work):
+    from pyspark.sql import functions as F
+
+    from vaultweave.plans.yearly import _inserted_rows, fold_satellite_keys
+
     loads = [(2001, [("p", "A"), ("p", "B"), ("q", "A"), (None, "N")]),
              (2002, [("p", "B"), ("p", "C"), ("q", "A"), (None, "N")]),
              (2003, [("p", "B"), ("q", "B"), ("r", "A")]),
              (2004, [("p", "C"), ("q", "A"), ("q", "B")])]
+    other = SatSpec("sat2", "x", "pk", "hd", ("v",))
     general, _ = run(spark, loads)
-    state = SatelliteState(SPEC, spark.createDataFrame([], "pk string, hd string"))
-    out = []
+    staged = None
     for y, items in loads:
-        ins = state.inserts(sat_batch(spark, y, items))
-        got = ins.collect()
-        out += got
-        state = SatelliteState(SPEC, spark.createDataFrame(state.advance(spark.createDataFrame(got, SAT_SCHEMA)).collect(),
-                                                           "pk string, hd string"))
-    assert sorted(map(tuple, out), key=str) == sorted(map(tuple, general.collect()), key=str)
+        b = sat_batch(spark, y, items).withColumn("load_year", F.lit(y))
+        staged = b if staged is None else staged.unionByName(b)
+    years = [y for y, _ in loads]
+    keys = fold_satellite_keys(spark, [(SPEC, staged, None), (other, staged, None)], years, f"{work}/st")
+    for spec in (SPEC, other):
+        got = _inserted_rows(staged.drop("load_year"), spec, keys)
+        assert rows_of(got) == rows_of(general), spec.name

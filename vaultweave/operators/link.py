@@ -3,13 +3,14 @@
 ``link_rows`` accepts one or several loads like ``hub_rows``: distinct rows of each load (the
 distinct also covers ``also_distinct_on`` columns, which are then dropped, as the reference
 does), keep a non-NULL link pk only at its first load, drop pks already in the link.
-Distinct is a partial aggregate, so hot relations are reduced map-side; the anti join shuffles
-at most a few rows per pk.
+Distinct is a partial aggregate, so hot relations are reduced map-side before any shuffle; after
+it, every later step (first-load window, anti join) sees at most a few rows per pk.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vaultweave.plans.specs import LinkSpec
@@ -23,8 +24,12 @@ def link_rows(stg: DataFrame, tgt: DataFrame | None, spec: LinkSpec, single_load
     pk = spec.pk
     d = stg.select(pk, *spec.parents, *spec.also_distinct_on, "load_date", "record_source").distinct()
     if not single_load:
-        first = d.where(F.col(pk).isNotNull()).groupBy(pk).agg(F.min("load_date").alias("_first_load"))
-        d = d.join(first, pk, "left").where(F.col(pk).isNull() | (F.col("load_date") == F.col("_first_load")))
+        # After the distinct a link pk has at most one row per load (parents are hashes of the
+        # pk's own parts), so a window per pk is bounded and reuses the distinct's output; an
+        # aggregate + join here would let Catalyst drop the distinct under min() and compute
+        # the whole source twice.
+        first = F.min("load_date").over(Window.partitionBy(pk))
+        d = d.withColumn("_first_load", first).where(F.col(pk).isNull() | (F.col("load_date") == F.col("_first_load")))
     out = d.select(*link_columns(spec))
     if tgt is not None:
         out = out.join(tgt.select(pk), pk, "left_anti")

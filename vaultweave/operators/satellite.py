@@ -12,10 +12,9 @@ A hash diff is in the latest set exactly when its own last load equals its pk's
 Both aggregates combine map-side, keys spread over (pk, hashdiff), and the final anti join is on
 (pk, hashdiff), so a pk holding a third of all rows does not land in one task.
 
-``SatelliteState`` is the same rule kept incrementally for a backfill of loads in increasing
-order after everything in the target: the state is the latest set itself, and each load
-replaces the set of every pk it inserted for. It is equal to re-deriving "latest" from the
-target before each load (tests check this) but reads only the state, not the whole history.
+For a backfill of loads in increasing order after everything in the target, the same rule is
+kept incrementally on keys only (``plans.yearly.fold_satellite_keys``): the state is the latest
+set itself, and each load replaces the set of every pk it inserted for.
 """
 
 from __future__ import annotations
@@ -60,25 +59,3 @@ def sat_rows(stg: DataFrame, tgt: DataFrame | None, spec: SatSpec, load_date: dt
     if tgt is None:
         return cand
     return cand.join(latest_hashdiffs(tgt, spec, as_of=load_date), [spec.pk, spec.hashdiff], "left_anti")
-
-
-class SatelliteState:
-    """Latest (pk, hashdiff) set of a satellite, advanced one load at a time."""
-
-    def __init__(self, spec: SatSpec, latest: DataFrame):
-        self.spec = spec
-        self.latest = latest
-
-    @classmethod
-    def from_target(cls, spec: SatSpec, tgt: DataFrame | None, empty: DataFrame) -> "SatelliteState":
-        return cls(spec, empty if tgt is None else latest_hashdiffs(tgt, spec))
-
-    def inserts(self, cand_one_load: DataFrame) -> DataFrame:
-        return cand_one_load.join(self.latest, [self.spec.pk, self.spec.hashdiff], "left_anti")
-
-    def advance(self, inserted: DataFrame) -> DataFrame:
-        """State after ``inserted`` (rows of one load) was appended; caller materialises it."""
-        pk, hd = self.spec.pk, self.spec.hashdiff
-        new = inserted.where(F.col(pk).isNotNull()).select(pk, hd).distinct()
-        kept = self.latest.join(new.select(pk).distinct(), pk, "left_anti")
-        return kept.unionByName(new)

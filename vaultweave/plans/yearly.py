@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vaultweave.functions.time import in_year
 from vaultweave.operators.hub import hub_columns, hub_rows
 from vaultweave.operators.link import link_columns, link_rows
-from vaultweave.operators.satellite import SatelliteState, candidates, latest_hashdiffs, sat_columns, sat_rows
+from vaultweave.operators.satellite import candidates, latest_hashdiffs, sat_columns, sat_rows
 from vaultweave.operators.staging import stage
 from vaultweave.plans.specs import HubSpec, LinkSpec, SatSpec, VaultSpec
 from vaultweave.session import materialize, new_work_dir
@@ -164,6 +164,7 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
     if not years and any(isinstance(t, SatSpec) for t in targets):
         return years
 
+    sats = []
     for t in targets:
         stg = staged[t.source].drop(LOAD_YEAR)
         schema = stg.select(*target_columns(t)).schema
@@ -173,30 +174,86 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         elif isinstance(t, LinkSpec):
             store.append(link_rows(stg, tgt, t), t.name)
         else:
-            _backfill_sat(spark, t, staged[t.source], tgt, store, years, schema, f"{work}/{t.name}")
+            sats.append((t, tgt, schema))
+
+    first_load = dt.datetime(years[0], 1, 1) if years else None
+    folded = []
+    for t, tgt, schema in sats:
+        last = None if tgt is None else tgt.agg(F.max("load_date")).first()[0]
+        if last is not None and last >= first_load:
+            # the target already holds a load at/after this backfill: general rule, load by load
+            for y in years:
+                cur = store.read(t.name, schema)
+                rows = sat_rows(staged[t.source].where(F.col(LOAD_YEAR) == y).drop(LOAD_YEAR), cur, t,
+                                dt.datetime(y, 1, 1))
+                store.append(rows, t.name)
+        else:
+            folded.append((t, tgt))
+    if folded:
+        inserted = fold_satellite_keys(spark, [(t, staged[t.source], tgt) for t, tgt in folded], years,
+                                       f"{work}/sat_state")
+        for t, _ in folded:
+            store.append(_inserted_rows(staged[t.source].drop(LOAD_YEAR), t, inserted), t.name)
     return years
 
 
-def _backfill_sat(spark: SparkSession, t: SatSpec, staged: DataFrame, tgt: DataFrame | None,
-                  store: TableStore, years: list[int], schema, work: str) -> None:
-    first_load = dt.datetime(years[0], 1, 1)
-    last_in_target = None if tgt is None else tgt.agg(F.max("load_date")).first()[0]
-    per_year = lambda y: staged.where(F.col(LOAD_YEAR) == y).drop(LOAD_YEAR)   # partition pruned
-
-    if last_in_target is not None and last_in_target >= first_load:
-        for y in years:                                  # general rule, one load at a time
-            cur = store.read(t.name, schema)
-            store.append(sat_rows(per_year(y), cur, t, dt.datetime(y, 1, 1)), t.name)
-        return
-
-    key_schema = staged.select(t.pk, t.hashdiff).schema
-    empty = spark.createDataFrame([], key_schema)
-    if tgt is None:
-        state = SatelliteState(t, empty)
-    else:
-        state = SatelliteState(t, materialize(latest_hashdiffs(tgt, t), f"{work}/state_init"))
-    for i, y in enumerate(years):
-        store.append(state.inserts(candidates(per_year(y), t)), t.name)
-        inserted = store.read(t.name, schema).where(F.col(LOAD_YEAR) == y).drop(LOAD_YEAR)
-        if i + 1 < len(years):
-            state = SatelliteState(t, materialize(state.advance(inserted), f"{work}/state_{y}"))
+STATE_SCHEMA = "sat string, pk string, hd string, ins_load timestamp_ntz"
+
+
+def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str) -> DataFrame:
+    """Fold the satellite rule over ``years`` for several satellites at once, on keys only.
+
+    The state is every satellite's latest (pk, hashdiff) set, one generic table
+    ``(sat, pk, hd, ins_load)``. Per load: batch keys not in the state are inserted; every
+    (sat, pk) that got an insert has its set replaced by the inserted keys. The state is written
+    once per load, partitioned by ``is_new``, so the keys inserted at that load are its
+    ``is_new=true`` partition. Returns those keys of all loads: (sat, pk, hd, load_date).
+    One written table per load regardless of the number of satellites; each step reads the
+    batch keys of its own year (partition pruned) and the previous state.
+    """
+    init = None
+    for t, _, tgt in sats:
+        if tgt is not None:
+            part = latest_hashdiffs(tgt, t).select(F.lit(t.name).alias("sat"), F.col(t.pk).alias("pk"),
+                                                   F.col(t.hashdiff).alias("hd"),
+                                                   F.lit(None).cast("timestamp_ntz").alias("ins_load"))
+            init = part if init is None else init.unionByName(part)
+    state = spark.createDataFrame([], STATE_SCHEMA) if init is None else materialize(init, f"{work}/init")
+
+    keys = None
+    for t, staged, _ in sats:
+        k = staged.select(F.lit(t.name).alias("sat"), F.col(t.pk).alias("pk"), F.col(t.hashdiff).alias("hd"),
+                          LOAD_YEAR)
+        keys = k if keys is None else keys.unionByName(k)
+
+    new_parts = []
+    for y in years:
+        batch = (keys.where(F.col(LOAD_YEAR) == y)                      # partition pruned
+                 .where(F.col("pk").isNotNull() & F.col("hd").isNotNull())
+                 .select("sat", "pk", "hd").distinct())
+        ins = batch.join(state.select("sat", "pk", "hd"), ["sat", "pk", "hd"], "left_anti")
+        kept = state.select("sat", "pk", "hd", "ins_load").join(ins.select("sat", "pk").distinct(),
+                                                                 ["sat", "pk"], "left_anti")
+        nxt = (kept.withColumn("is_new", F.lit(False))
+               .unionByName(ins.withColumn("ins_load", F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz"))
+                               .withColumn("is_new", F.lit(True))))
+        path = f"{work}/{y}"
+        written = materialize(nxt, path, partition_by="is_new")
+        state = written.drop("is_new")
+        new_parts.append(written.where(F.col("is_new"))           # partition pruned; may be empty
+                         .select("sat", "pk", "hd", F.col("ins_load").alias("load_date")))
+    out = new_parts[0]
+    for p in new_parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _inserted_rows(staged: DataFrame, t: SatSpec, inserted: DataFrame) -> DataFrame:
+    """Distinct batch rows of the inserted (pk, hashdiff, load) keys; rows with a NULL pk or
+    hashdiff never match the satellite, so every load inserts them."""
+    cand = candidates(staged, t)
+    keys = inserted.where(F.col("sat") == t.name).select(F.col("pk").alias(t.pk), F.col("hd").alias(t.hashdiff),
+                                                          "load_date")
+    matched = cand.join(keys, [t.pk, t.hashdiff, "load_date"], "left_semi").select(*sat_columns(t))
+    never_match = cand.where(F.col(t.pk).isNull() | F.col(t.hashdiff).isNull())
+    return matched.unionByName(never_match)
