@@ -57,3 +57,24 @@ def test_overwrite_year_replaces_only_that_year_even_when_empty(spark, work):
     store.overwrite_year(df.limit(0), "t", 2001)
     got = sorted(tuple(r) for r in spark.read.schema("v int, year int").parquet(store.path("t")).collect())
     assert got == [(2, 2002)]
+
+
+def test_lake_backfill_equals_yearly_runs_and_empties_missing_years(spark, work):
+    from conftest import SF0001
+
+    from vaultweave.plans.lake import ENTITIES, backfill_lake, run_lake_year
+    from vaultweave.sources.fixtures import stg_source
+
+    stg = {e: stg_source(spark, SF0001, e) for e in ENTITIES}
+    years = [1996, 1997, 2024, 2030]
+    a, b = TableStore(spark, f"{work}/a"), TableStore(spark, f"{work}/b")
+    for y in years:
+        run_lake_year(spark, stg, a, y)
+    # b starts with stale rows in 2030, which the backfill must clear
+    store_stale = spark.createDataFrame([(1, 2030)], "user_id bigint, year int")
+    b.overwrite_year(store_stale, "dm_traffic", 2030)
+    backfill_lake(spark, stg, b, years)
+    for t in [f"ods_{e}" for e in ENTITIES] + ["dm_traffic"]:
+        ra = sorted(map(str, spark.read.parquet(a.path(t)).collect()))
+        rb = sorted(map(str, spark.read.parquet(b.path(t)).collect()))
+        assert ra == rb and len(ra) > 0, t

@@ -52,3 +52,27 @@ def test_hub_rerun_adds_nothing_for_non_null_keys(spark, work):
     n = [store.read(t).count() for t in only]
     run_year(spark, DWL, src, store, 1996, dt.datetime(1996, 1, 1), only=only, work_dir=f"{work}/b")
     assert [store.read(t).count() for t in only] == n
+
+
+def test_staging_views_exist_during_run_and_are_dropped(spark, work):
+    from vaultweave.plans.yearly import drop_year_views, view_name
+
+    src = {"payment": ods_source(spark, SF0001, "payment")}
+    store = TableStore(spark, work)
+    seen = {}
+    orig = TableStore.append
+
+    def spy(self, rows, name):
+        seen[name] = spark.catalog.tableExists(view_name(DWL, "payment", 1997))
+        orig(self, rows, name)
+
+    TableStore.append = spy
+    try:
+        run_year(spark, DWL, src, store, 1997, only=["hub_user"], work_dir=f"{work}/t")
+    finally:
+        TableStore.append = orig
+    assert seen == {"hub_user": True}
+    assert not spark.catalog.tableExists(view_name(DWL, "payment", 1997))
+    spark.range(1).createOrReplaceTempView(view_name(DWL, "payment", 1990))
+    assert drop_year_views(spark, DWL, 1990) == ["dwl_view_payment_1990"]
+    assert drop_year_views(spark, DWL, 1990) == []

@@ -124,13 +124,32 @@ def stage_load(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFra
     return staged
 
 
+def view_name(vault: VaultSpec, source: str, year: int) -> str:
+    """Session view of a yearly staging batch, e.g. ``fp_view_billing_1997``."""
+    return f"{vault.name}_view_{source}_{year}"
+
+
+def drop_year_views(spark: SparkSession, vault: VaultSpec, year: int) -> list[str]:
+    """Drop the staging views of one year if they exist (the separate cleanup run)."""
+    return [v for v in (view_name(vault, s, year) for s in vault.stages) if spark.catalog.dropTempView(v)]
+
+
 def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
              year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None) -> None:
-    """One scheduled yearly run: rows of ``year``, run date ``load_date`` (default 1 January)."""
+    """One scheduled yearly run: rows of ``year``, run date ``load_date`` (default 1 January).
+
+    The staged batches are visible as session views while the run lasts (for SQL users and
+    inspection) and dropped at the end, also when a load fails."""
     ld = load_date or dt.datetime(year, 1, 1)
     targets = _selected(vault, only)
     work = work_dir or new_work_dir(spark, f"year{year}")
-    run_load(spark, vault, stage_load(spark, vault, sources, targets, work, year, ld), store, ld, targets)
+    staged = stage_load(spark, vault, sources, targets, work, year, ld)
+    try:
+        for name, df in staged.items():
+            df.createOrReplaceTempView(view_name(vault, name, year))
+        run_load(spark, vault, staged, store, ld, targets)
+    finally:
+        drop_year_views(spark, vault, year)
 
 
 def _years_of(df: DataFrame) -> set[int]:
