@@ -90,11 +90,16 @@ def _needed_columns(targets, source: str) -> list[str]:
 
 def _prepare(staged: DataFrame, targets, source: str, path: str, partition_by: str | None = None) -> DataFrame:
     """Keep the columns the targets read; write them once when several targets (or a satellite
-    fold, which reads one year at a time) consume the batch, else leave the plan lazy."""
+    fold, which reads one year at a time, or a literal hub) consume the batch, else leave the
+    plan lazy."""
     users = [t for t in targets if t.source == source]
     cols = _needed_columns(targets, source) + ([partition_by] if partition_by else [])
     staged = staged.select(*cols)
-    if len(users) > 1 or any(isinstance(t, SatSpec) for t in users):
+    # a hub deduped by another key reads its per-load picks twice (join with each pk's first
+    # load); Catalyst plans the two branches differently, so without a written batch the
+    # whole source would be computed twice
+    reads_twice = any(isinstance(t, SatSpec) or (isinstance(t, HubSpec) and t.dedup_by) for t in users)
+    if len(users) > 1 or reads_twice:
         return materialize(staged, path, partition_by)
     return staged
 
