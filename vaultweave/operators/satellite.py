@@ -46,7 +46,11 @@ def latest_hashdiffs(tgt: DataFrame, spec: SatSpec, as_of: dt.datetime | str | N
         if "load_year" in tgt.columns:   # partition column of the store: prune later years
             year = as_of.year if isinstance(as_of, dt.datetime) else int(str(as_of)[:4])
             t = t.where(F.col("load_year") <= F.lit(year))
-    a = t.groupBy(pk, hd).agg(F.max("load_date").alias("_last"))
+    # A NULL hash diff never matches a batch row but still marks its pk's last load, so it is
+    # kept, as '' (an md5 hex is never empty). The column is then non-nullable and both uses of
+    # ``a`` stay identical plans, so Spark reuses one exchange instead of scanning twice.
+    a = (t.groupBy(pk, F.coalesce(F.col(hd), F.lit("")).alias(hd))
+         .agg(F.max("load_date").alias("_last")))
     m = a.groupBy(F.col(pk).alias("_m_pk")).agg(F.max("_last").alias("_pk_last"))
     # equi join on (pk, last load): a hot pk's hash diffs still spread over their own last loads
     return (a.join(m, (F.col(pk) == F.col("_m_pk")) & (F.col("_last") == F.col("_pk_last")))
