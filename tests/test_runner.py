@@ -29,6 +29,14 @@ def test_backfill_equals_year_by_year_runs(spark, work):
         sch = _schema(src, FP, t)
         a, b = folded.read_public(t.name, sch), bulk.read_public(t.name, sch)
         assert rows_of(a) == rows_of(b), t.name
+    # link parents are the staging hash keys of the same rows, so the payment links only point at
+    # keys of the payment hubs
+    keys = lambda name, col: {r[0] for r in bulk.read(name).select(col).distinct().collect()}
+    assert keys("link_user_account", "user_pk") - {None} <= keys("hub_user", "user_pk")
+    assert keys("link_user_account", "account_pk") - {None} <= keys("hub_account", "account_pk")
+    assert keys("link_account_billing_pay", "pay_doc_pk") - {None} <= keys("hub_pay_doc", "pay_doc_pk")
+    assert keys("link_account_billing_pay", "billing_period_pk") - {None} <= keys("hub_billing_period",
+                                                                                   "billing_period_pk")
 
 
 def test_backfill_on_top_of_existing_target_and_rerun(spark, work):
