@@ -14,10 +14,10 @@ from vaultweave.plans.yearly import _inserted_rows, fold_satellite_keys
 
 SAT = SatSpec("s", "x", "pk", "hd", ("v",))
 HUB = HubSpec("h", "x", "pk", ("k",))
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 keys = st.sampled_from(["p", "q", "r", None])
-hds = st.sampled_from(["A", "B", "C"])
+hds = st.sampled_from(["A", "B", "C", None])
 load = st.lists(st.tuples(keys, hds), min_size=1, max_size=6)
 history = st.lists(load, min_size=1, max_size=4)
 
@@ -37,7 +37,7 @@ def model_sat(loads):
             prior = [r for r in table if r[0] == pk and pk is not None and r[2] <= d]
             last = max((r[2] for r in prior), default=None)
             latest = {r[1] for r in prior if r[2] == last}
-            if hd not in latest:
+            if pk is None or hd is None or hd not in latest:     # NULL never matches
                 inserts.append((pk, hd, d))
         table += inserts
     return sorted(table, key=str)

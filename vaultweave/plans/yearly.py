@@ -252,10 +252,14 @@ def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str)
 
     new_parts = []
     for y in years:
-        batch = (keys.where(F.col(LOAD_YEAR) == y)                      # partition pruned
-                 .where(F.col("pk").isNotNull() & F.col("hd").isNotNull())
-                 .select("sat", "pk", "hd").distinct())
-        ins = batch.join(state.select("sat", "pk", "hd"), ["sat", "pk", "hd"], "left_anti")
+        # NULL pks never take part in "latest". A NULL hash diff never matches, so it is always
+        # inserted, and it still makes this load its pk's latest: it enters the state as ''.
+        batch = (keys.where(F.col(LOAD_YEAR) == y).where(F.col("pk").isNotNull())   # partition pruned
+                 .select("sat", "pk", F.coalesce("hd", F.lit("")).alias("hd"), F.col("hd").isNull().alias("_nohd"))
+                 .distinct())
+        ins = (batch.where(~F.col("_nohd")).select("sat", "pk", "hd")
+               .join(state.select("sat", "pk", "hd"), ["sat", "pk", "hd"], "left_anti")
+               .unionByName(batch.where(F.col("_nohd")).select("sat", "pk", "hd")))
         kept = state.select("sat", "pk", "hd", "ins_load").join(ins.select("sat", "pk").distinct(),
                                                                  ["sat", "pk"], "left_anti")
         nxt = (kept.withColumn("is_new", F.lit(False))
