@@ -167,6 +167,17 @@ def _years_of(df: DataFrame) -> set[int]:
     return found
 
 
+def _last_load(tgt: DataFrame | None):
+    """Latest load_date of a store table: newest load-year partition from the file listing, then
+    one aggregate over that partition only (not a scan of the whole history)."""
+    if tgt is None:
+        return None
+    years = _years_of(tgt)
+    if not years:
+        return None
+    return tgt.where(F.col(LOAD_YEAR) == max(years)).agg(F.max("load_date")).first()[0]
+
+
 def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
              years: list[int] | None = None, only=None, work_dir: str | None = None) -> list[int]:
     """Load ``years`` (all years in the data when None) in increasing order. Returns the years
@@ -203,7 +214,7 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
     first_load = dt.datetime(years[0], 1, 1) if years else None
     folded = []
     for t, tgt, schema in sats:
-        last = None if tgt is None else tgt.agg(F.max("load_date")).first()[0]
+        last = _last_load(tgt)
         if last is not None and last >= first_load:
             # the target already holds a load at/after this backfill: general rule, load by load
             for y in years:
