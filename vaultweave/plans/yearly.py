@@ -23,7 +23,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultweave.functions.time import in_year
 from vaultweave.operators.hub import hub_columns, hub_rows
 from vaultweave.operators.link import link_columns, link_rows
 from vaultweave.operators.satellite import candidates, latest_hashdiffs, sat_columns, sat_rows
