@@ -37,6 +37,15 @@ class TableStore:
                 return None
             raise
 
+    def read_path(self, path: str, schema: str | StructType) -> DataFrame | None:
+        """A side table at an exact path, or None when it was never written."""
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+
     def read_public(self, name: str, schema: StructType | None = None) -> DataFrame | None:
         df = self.read(name, schema)
         return None if df is None else df.drop(LOAD_YEAR)
