@@ -82,7 +82,7 @@ def test_satellite_key_fold_matches_model(spark, loads):
 
     staged = sat_frame(spark, loads).withColumn("load_year", F.year("load_date"))
     years = [2001 + i for i in range(len(loads))]
-    keys_ = fold_satellite_keys(spark, [(SAT, staged, None)], years, new_work_dir(spark, "prop"))
+    keys_, _ = fold_satellite_keys(spark, [(SAT, staged, None)], years, new_work_dir(spark, "prop"))
     got = _inserted_rows(staged.drop("load_year"), SAT, keys_)
     assert rows_of(got, ["pk", "hd", "load_date"]) == model_sat(loads)
 

@@ -60,7 +60,7 @@ def test_key_fold_of_two_satellites_equals_general_rule(spark, work):
         b = sat_batch(spark, y, items).withColumn("load_year", F.lit(y))
         staged = b if staged is None else staged.unionByName(b)
     years = [y for y, _ in loads]
-    keys = fold_satellite_keys(spark, [(SPEC, staged, None), (other, staged, None)], years, f"{work}/st")
+    keys, _ = fold_satellite_keys(spark, [(SPEC, staged, None), (other, staged, None)], years, f"{work}/st")
     for spec in (SPEC, other):
         got = _inserted_rows(staged.drop("load_year"), spec, keys)
         assert rows_of(got) == rows_of(general), spec.name

@@ -267,10 +267,16 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         else:
             folded.append((t, tgt))
     if folded:
-        inserted = fold_satellite_keys(spark, [(t, staged[t.source], tgt) for t, tgt in folded], years,
-                                       f"{work}/sat_state")
+        inserted, final = fold_satellite_keys(spark, [(t, staged[t.source], tgt) for t, tgt in folded],
+                                              years, f"{work}/sat_state")
         for t, _ in folded:
             store.append(_inserted_rows(staged[t.source].drop(LOAD_YEAR), t, inserted), t.name)
+            # the fold ends with this satellite's latest set: save it for the next yearly run
+            after = store.read(t.name, dict((x[0], x[2]) for x in sats)[t])
+            last = _last_load(after)
+            if last is not None:
+                keys = final.where(F.col("sat") == t.name).select(F.col("pk").alias(t.pk), F.col("hd").alias(t.hashdiff))
+                materialize(keys, _state_path(store, t.name, last, after.count()))
     return years
 
 
@@ -284,7 +290,8 @@ def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str)
     ``(sat, pk, hd, ins_load)``. Per load: batch keys not in the state are inserted; every
     (sat, pk) that got an insert has its set replaced by the inserted keys. The state is written
     once per load, partitioned by ``is_new``, so the keys inserted at that load are its
-    ``is_new=true`` partition. Returns those keys of all loads: (sat, pk, hd, load_date).
+    ``is_new=true`` partition. Returns those keys of all loads, (sat, pk, hd, load_date), and
+    the final state (every satellite's latest set after the last load).
     One written table per load regardless of the number of satellites; each step reads the
     batch keys of its own year (partition pruned) and the previous state.
     """
@@ -326,7 +333,7 @@ def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str)
     out = new_parts[0]
     for p in new_parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out, state
 
 
 def _inserted_rows(staged: DataFrame, t: SatSpec, inserted: DataFrame) -> DataFrame:
