@@ -47,7 +47,7 @@ def vault_target(vault: VaultSpec, name: str) -> Query:
         src = ods_source(spark, sf_dir, t.source)
         work = new_work_dir(spark, f"{vault.name}-{name}")
         store = TableStore(spark, f"{work}/vault")
-        backfill(spark, vault, {t.source: src}, store, only=[name], work_dir=f"{work}/tmp")
+        backfill(spark, vault, {t.source: src}, store, only=[name], work_dir=f"{work}/tmp", save_latest=False)
         schema = stage(src, vault.stages[t.source]).select(*target_columns(t)).schema
         return store.read_public(name, schema)
     return run

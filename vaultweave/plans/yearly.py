@@ -221,9 +221,11 @@ def _last_load(tgt: DataFrame | None):
 
 
 def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
-             years: list[int] | None = None, only=None, work_dir: str | None = None) -> list[int]:
+             years: list[int] | None = None, only=None, work_dir: str | None = None,
+             save_latest: bool = True) -> list[int]:
     """Load ``years`` (all years in the data when None) in increasing order. Returns the years
-    the satellites were folded over (empty when only hubs and links were selected)."""
+    the satellites were folded over (empty when only hubs and links were selected).
+    ``save_latest`` keeps each folded satellite's final latest set for the next ``run_year``."""
     targets = _selected(vault, only)
     work = work_dir or new_work_dir(spark, "backfill")
     staged: dict[str, DataFrame] = {}
@@ -271,6 +273,8 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
                                               years, f"{work}/sat_state")
         for t, _ in folded:
             store.append(_inserted_rows(staged[t.source].drop(LOAD_YEAR), t, inserted), t.name)
+            if not save_latest:
+                continue
             # the fold ends with this satellite's latest set: save it for the next yearly run
             after = store.read(t.name, dict((x[0], x[2]) for x in sats)[t])
             last = _last_load(after)
