@@ -10,6 +10,10 @@ fewer jobs: hubs and links load every year in one pass (their result is each key
 satellites fold year by year over a small "latest" state table. When the target already holds
 a load at or after the first year, satellites fall back to ``run_year``'s rule per year.
 
+Both keep each satellite's latest key set after an in-order load (``_latest/<name>/...`` in the
+store, named by the target's last load date and row count), so the next scheduled run reads
+that set instead of the satellite's whole history while it still matches the target.
+
 The staged batch is written once to the work folder (partitioned by load year) instead of being
 recomputed per target: each target then scans only its own columns, and a lost executor costs a
 re-read, not a recomputation of the hashes.
