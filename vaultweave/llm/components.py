@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     number of leaves is summed before it is shuffled, and joins on its centre can be split."""
     edges = saved(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     mark = None
-    while True:
+    while not edges.isEmpty():
         edges = saved(_star(_star(edges, True), False), "cc")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:

@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultweave.llm import textbytes as tb
@@ -40,7 +40,7 @@ SHINGLE = 5
 PERCENT = 85
 K = 48
 NEED_LARGE = 22
-PIVOTS = 3
+PIVOTS = 2
 ESTIMATE_SLACK = 0.30
 _U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -191,5 +191,19 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group: the one with the least id; of rows that share an id the least row."""
+    classes = near_classes(docs, id_col, text_col, **options)
+    gone = saved(classes.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct(), "near")
+    twice = saved(docs.groupBy(F.col(id_col).cast("long").alias("__id")).count().filter("count > 1 AND __id IS NOT NULL").select("__id"), "near")
+    ident = F.col(id_col).cast("long")
+    rest = docs.join(gone, ident == gone["__id"], "left_anti")
+    if twice.isEmpty():
+        return rest
+    least = Window.partitionBy(id_col).orderBy(text_col, *[c for c in docs.columns if c not in (id_col, text_col)])
+    again = (rest.join(twice, ident == twice["__id"], "left_semi").withColumn("__n", F.row_number().over(least)).filter("__n = 1").drop("__n"))
+    return rest.join(twice, ident == twice["__id"], "left_anti").unionByName(again)
+
+
 def op4_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
