@@ -11,8 +11,8 @@ keys; sum the ids of each range; deal the rows to their ranges, and number them
 top of the range's first place. Only one number per range passes through the driver. The stream's end,
 shorter than ``LENGTH``, is cut into pieces whose lengths are powers of two, which need no padding.
 
-Texts are cut at blanks and line ends and each piece is encoded by the library once per process, as no token
-crosses them; the ids are those of the whole text.
+Texts are cut where no token of the tokenizer can cross, at white space and where a letter meets an ASCII sign,
+and each word is encoded by the library once per process; the ids are those of the whole text.
 
 Defined cases: null and empty texts have just the end id; rows that share an id are packed one by one;
 a null id sorts first; an empty table gives no rows.
@@ -20,6 +20,7 @@ a null id sorts first; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 
@@ -36,8 +37,8 @@ END_ID = 1
 DIMS = 3
 GRID_BITS = 10
 MAX_WORDS = 700_000
-#: blanks and line ends to a blank
-_BLANKS = bytes(32 if b in (9, 10, 13) else b for b in range(256))
+#: a word may also end where a letter a-z meets an ASCII sign: the library parts letters from signs
+_LETTER_THEN_SIGN = (np.array([97 <= b <= 122 for b in range(256)]), np.array([33 <= b <= 47 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 126 for b in range(256)]))
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -87,45 +88,78 @@ class Encoder:
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         term = tb.mix(np.arange(size, dtype=np.uint64) + np.uint64(0x51ED))
         self.project = np.stack([np.where(term >> np.uint64(b) & np.uint64(1), 1, -1) for b in range(DIMS)], 1).astype(np.int64)
-        #: a special token that the library cuts out of any text; it parts the words of one call
-        special = [(t.content, i) for i, t in self.library.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
-        self.mark, self.mark_id = special[0] if special else (None, -1)
         self.marks = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words: dict[bytes, bytes] = {b"": b""}
-
-    def _learn(self, new: list[str], keys: list[bytes]) -> None:
-        """Encodes words; those without special strings many in one call, parted by the mark."""
-        size, words = np.dtype(self.kind).itemsize, self.words
-        plain, odd = [], []
-        for w, k in zip(new, keys, strict=True):
-            (plain if self.mark and not any(m in w for m in self.marks) else odd).append((w, k))
-        for i in range(0, len(plain), 2048):
-            part = plain[i:i + 2048]
-            ids = np.array(self.library.encode_batch_fast([self.mark.join(w for w, _ in part)], add_special_tokens=False)[0].ids, np.int64)
-            stop = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
-            raw, start = ids.astype(self.kind).tobytes(), 0
-            for (_, k), e in zip(part, stop.tolist(), strict=True):
-                words[k] = raw[start * size:e * size]
-                start = e + 1
-        for (_, k), e in zip(odd, self.library.encode_batch_fast([w for w, _ in odd], add_special_tokens=False), strict=True):
-            words[k] = np.array(e.ids, self.kind).tobytes()
-
-    def texts(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of UTF-8 texts, each with the end id."""
-        if self.folds and not any(b"<|" in t for t in texts):
-            texts = [t.lower() for t in texts]  # A-Z only, as the library will: fewer distinct words
-        cut = [t.translate(_BLANKS).split(b" ") for t in texts]
-        seen = set().union(*cut)
-        new = seen.difference(self.words)
-        if new:
-            if len(self.words) + len(new) > MAX_WORDS:
-                self.words = {b"": b""}
-                new = seen.difference(self.words)
-            self._learn([w.decode("utf-8", "replace") for w in new], list(new))
-        here = {w: self.words[w] for w in seen}
-        get = here.__getitem__
-        end = np.array([END_ID], self.kind).tobytes()
-        return [b"".join(map(get, ws)) + end for ws in cut]
+        suffix = json.loads(self.library.to_str())["model"].get("end_of_word_suffix") or ""
+        #: ids that end a word of letters only or of signs only
+        self.last = np.array([bool(suffix) and (self.library.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known words: sorted hashes, and of each the place and number of its ids in the pool."""
+        self.known, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.at, self.size, self.pool, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 20, self.kind), 0
+
+    def _learn(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, end to end, and their numbers. Plain words go to the library many at a time."""
+        got: list = [None] * len(keys)
+        plain = []
+        for i, k in enumerate(keys):
+            w = k.decode("utf-8", "replace")
+            if w.isalpha() or (w.isascii() and w.isprintable() and not any(c.isalnum() or c in "' " for c in w) and not any(m in w for m in self.marks)):
+                plain.append((i, w))
+            else:
+                got[i] = np.array(self.library.encode_batch_fast([w], add_special_tokens=False)[0].ids, self.kind)
+        for s in range(0, len(plain), 2048):
+            part = plain[s:s + 2048]
+            ids = np.array(self.library.encode_batch_fast([" ".join(w for _, w in part)], add_special_tokens=False)[0].ids, self.kind)
+            stop = np.flatnonzero(self.last[ids]) + 1
+            if len(stop) == len(part) and stop[-1] == len(ids):
+                for (i, _), x in zip(part, np.split(ids, stop[:-1]), strict=True):
+                    got[i] = x
+            else:  # a tokenizer without word ends
+                for (i, w), e in zip(part, self.library.encode_batch_fast([w for _, w in part], add_special_tokens=False), strict=True):
+                    got[i] = np.array(e.ids, self.kind)
+        return np.concatenate(got), np.array([len(g) for g in got], np.int64)
+
+    def _rows(self, h: np.ndarray, keys) -> np.ndarray:
+        """Rows of the words with sorted distinct hashes ``h``; ``keys(which)`` gives the bytes of those not yet known."""
+        if len(self.known) + len(h) > MAX_WORDS:
+            self._forget()
+        place = np.searchsorted(self.known, h)
+        hit = self.known[np.minimum(place, len(self.known) - 1)] == h if len(self.known) else np.zeros(len(h), bool)
+        new = np.flatnonzero(~hit)
+        if len(new):
+            ids, size = self._learn(keys(new))
+            while self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            self.pool[self.used:self.used + len(ids)] = ids
+            self.row = np.insert(self.row, place[new], len(self.size) + np.arange(len(new)))
+            self.known = np.insert(self.known, place[new], h[new])
+            self.at = np.concatenate([self.at, self.used + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.used += len(ids)
+            place = np.searchsorted(self.known, h)
+        return self.row[place]
+
+    def slab(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a slab, each with the end id; offsets per text. Words are told apart by 64-bit hashes."""
+        raw = data.tobytes()
+        plain = not any(m.encode() in raw for m in self.marks)
+        if self.folds and plain:  # A-Z only, as the library will: fewer distinct words
+            data = tb.ascii_lower(data)
+            raw = data.tobytes()
+        start, end, doc = tb.words(data, offs, _LETTER_THEN_SIGN if plain else None)
+        h, first, of = np.unique(tb.mix(tb.Rolling(data).raw(start, end) + (end - start).astype(np.uint64)), return_index=True, return_inverse=True)
+        row = self._rows(h, lambda which: [raw[a:b] for a, b in zip(start[first[which]].tolist(), end[first[which]].tolist(), strict=True)])[of]
+        n = self.size[row]
+        place = np.cumsum(n) - n
+        total = int(n.sum())
+        token_doc = np.repeat(doc, n)
+        out = np.empty(total + len(offs) - 1, self.kind)
+        out[np.arange(total) + token_doc] = self.pool[np.repeat(self.at[row] - place, n) + np.arange(total)]
+        ends = np.cumsum(np.bincount(token_doc, minlength=len(offs) - 1) + 1)
+        out[ends - 1] = END_ID
+        return out, np.concatenate([[0], ends])
 
     def curve(self, ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Curve position of each document of a run of ids (none is empty)."""
@@ -147,13 +181,12 @@ def _tokenize(file: str):
         for batch in batches:
             data, offs = tb.utf8(batch.column(1))
             for i, j in tb.slabs(offs):
-                raw = data[offs[i]:offs[j]].tobytes()
-                o = offs[i:j + 1] - offs[i]
-                got = enc.texts([raw[o[k]:o[k + 1]] for k in range(j - i)])
-                n = np.array([len(g) for g in got], np.int64) // np.dtype(enc.kind).itemsize
-                curve = enc.curve(np.frombuffer(b"".join(got), enc.kind), np.concatenate([[0], np.cumsum(n)]))
+                ids, o = enc.slab(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+                raw = pa.py_buffer(ids.view(np.uint8))
+                got = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer((o * ids.itemsize).astype(np.int32)), raw])
+                curve, n = enc.curve(ids, o), np.diff(o)
                 doc = batch.column(0).slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([doc, pa.array(curve), pa.array(n), pa.array(got, pa.binary())], ["doc_id", "curve", "n", "ids"])
+                yield pa.RecordBatch.from_arrays([doc, pa.array(curve), pa.array(n), got], ["doc_id", "curve", "n", "ids"])
     return run
 
 

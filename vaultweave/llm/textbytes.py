@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLAB_BYTES = 1 << 20
+SLAB_BYTES = 1 << 18
 
 _U = np.uint64
 _SEED = np.random.Generator(np.random.PCG64(20240607))
@@ -103,8 +103,9 @@ def ascii_lower(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data | 32, data)
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a slab: start, end and text of each, in order."""
+def words(data: np.ndarray, offs: np.ndarray, between=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a slab: start, end and text of each, in order. ``between``: two
+    properties of bytes; a word also ends where a byte with the first is followed by one with the second."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, z
@@ -112,6 +113,8 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     solid[1:-1] = ~((data == 32) | ((data >= 9) & (data <= 13)))
     cut = np.zeros(len(data) + 1, bool)  # a text starts here
     cut[offs] = True
+    if between is not None:
+        cut[1:-1] |= between[0][data[:-1]] & between[1][data[1:]]
     start = np.flatnonzero(solid[1:-1] & (~solid[:-2] | cut[:-1]))
     end = np.flatnonzero(solid[1:-1] & (~solid[2:] | cut[1:])) + 1
     return start, end, np.searchsorted(offs, start, "right") - 1
