@@ -40,7 +40,7 @@ from vaultweave.session import new_work_dir
 
 DEPTH = 50
 ANCHOR = 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _U = np.uint64
 _NULL_ID = np.iinfo(np.int64).min
 
@@ -265,7 +265,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per document: ``doc_id, n_bytes, n_removed, n_spans`` and the SHA-256 of the kept bytes
     (``with_text``: the kept bytes themselves, column ``kept``)."""
     spark = docs.sparkSession
-    slots = shuffle_parts(spark)
+    slots = 2 * shuffle_parts(spark)
     name, path = f"suffix_blocks_{uuid.uuid4().hex}", f"{new_work_dir(spark, 'suffix')}/blocks"
     blocks = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         _blocks, "block long, ids binary, offs binary, data binary")
