@@ -15,8 +15,10 @@ document.
 * The rest is verified on the full sets, computed from the texts of the pair.
 
 Not all pairs of a list are formed. First each list's pivot is compared with its members and the
-links are merged to components, ``PIVOTS`` times with other pivots; then each pair of a list that
-still lies in different components is compared. Pairs inside a component cannot change the result.
+links are merged to components, ``PIVOTS`` times with other pivots. What still lies in one list but in
+different components is compared in blocks of about ``BLOCK`` documents: a task holds two blocks, takes
+overlaps, estimates and exact sizes as products of 0/1 matrices, and returns only as many links as
+connect what is linked. Pairs inside a component cannot change the result and are left out.
 
 Exactness: for sets of up to ``0.85 k`` shingles ``need`` is a theorem, else a binomial tail: a pair
 at the threshold is missed with a probability below 3e-9. Sets are compared by 64-bit hashes.
@@ -42,6 +44,7 @@ K = 48
 NEED_LARGE = 22
 PIVOTS = 2
 ESTIMATE_SLACK = 0.30
+BLOCK = 512
 _U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], np.uint64)
@@ -112,14 +115,14 @@ def _need(n: Column, percent: int, k: int, need_large: int) -> Column:
 
 
 def _listed(reps: DataFrame, percent: int, k: int, need_large: int) -> DataFrame:
-    """Rows (value, rep, n, mine): the rarest values of each rep that another rep shares."""
+    """Rows (rep, n, value): the rarest values of each rep that another rep shares."""
     each = reps.select("rep", "n", F.explode("sketch").alias("value"))
     often = each.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1")
     held = each.join(often, "value").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("held"))
     retained = F.least(F.col("n"), F.lit(k)).cast("int")
     room = retained - _need(F.col("n"), percent, k, need_large) + 1 - (retained - F.size("held"))
     return (held.withColumn("mine", F.slice("held", F.lit(1), F.greatest(room, F.lit(0))).getField("value"))
-            .filter(F.size("mine") > 0).select("rep", "n", "mine", F.explode("mine").alias("value")))
+            .select("rep", "n", F.explode("mine").alias("value")))
 
 
 def _estimate(a: str, b: str, k: int) -> Column:
@@ -127,6 +130,118 @@ def _estimate(a: str, b: str, k: int) -> Column:
     return F.size(F.array_intersect(F.array_intersect(union, F.col(a)), F.col(b))) / F.size(union)
 
 
+def _with_component(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    return lists.join(comp, lists["rep"] == comp["node"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+
+
+def _block_pairs(live: DataFrame) -> DataFrame:
+    """``pair, side, rep, comp``: documents whose lists connect them form a group; a group is cut into blocks of
+    about ``BLOCK`` documents, and each two blocks meet in one pair, but for blocks of one and the same component.
+    Small groups share blocks, which meet themselves only."""
+    stars = live.join(live.groupBy("value").agg(F.min("rep").alias("v")), "value").select(F.col("rep").alias("u"), "v").distinct()
+    group = components(stars).withColumnRenamed("node", "rep").withColumnRenamed("component", "grp")
+    member = saved(live.select("rep", "comp").distinct().join(group, "rep"), "near")
+    size = member.groupBy("grp", "comp").agg(F.count("*").alias("n_comp"))
+    whole = size.groupBy("grp").agg(F.sum("n_comp").alias("n_grp"), F.sum(F.when(F.col("n_comp") < BLOCK, F.col("n_comp")).otherwise(0)).alias("n_rest"))
+    small = whole.filter(F.col("n_grp") < BLOCK).agg(F.coalesce(F.sum("n_grp"), F.lit(0))).first()[0]
+    parts = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    pool = F.pmod(F.xxhash64("grp"), F.lit(max(1, -(-small // BLOCK)))).cast("int")
+    own = F.col("n_comp") >= BLOCK
+    at = F.when(own, F.pmod(F.xxhash64("rep"), parts(F.col("n_comp")))).otherwise(F.pmod(F.xxhash64("comp"), parts(F.col("n_rest"))))
+    placed = member.join(size, ["grp", "comp"]).join(whole, "grp").select(
+        "rep", "comp", F.when(F.col("n_grp") < BLOCK, F.struct(F.lit(None).cast("long").alias("grp"), F.lit(None).cast("long").alias("of"), pool.cast("int").alias("at")))
+        .otherwise(F.struct("grp", F.when(own, F.col("comp")).alias("of"), at.cast("int").alias("at"))).alias("block"))
+    placed = saved(placed, "near")
+    blocks = placed.select("block").distinct()
+    alone = blocks.filter("block.grp IS NULL OR block.of IS NULL").select(F.col("block").alias("x"), F.col("block").alias("y"))
+    a, b = (blocks.filter("block.grp IS NOT NULL").select(F.col("block.grp").alias("grp"), F.col("block").alias(c)) for c in "xy")
+    two = a.join(b, "grp").filter((F.col("x") < F.col("y")) & ~F.coalesce(F.col("x.of") == F.col("y.of"), F.lit(False))).select("x", "y")
+    meet = alone.unionByName(two).select(F.struct("x", "y").alias("pair"))
+    key = F.to_json(F.col("pair"))
+    sides = meet.select(key.alias("pair"), F.col("pair.x").alias("block"), F.lit(0).alias("side")).unionByName(
+        meet.filter("pair.x != pair.y").select(key.alias("pair"), F.col("pair.y").alias("block"), F.lit(1).alias("side")))
+    eq = (F.col("p.block.grp").eqNullSafe(F.col("s.block.grp")) & F.col("p.block.of").eqNullSafe(F.col("s.block.of"))
+          & (F.col("p.block.at") == F.col("s.block.at")))
+    return placed.alias("p").join(sides.alias("s"), eq).select("pair", "side", "p.rep", "p.comp")
+
+
+def _counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``a`` with each of ``b``."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    va, vb = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (a, b))
+    both = np.intersect1d(va, vb)
+    rows = []
+    for sets, v in ((a, va), (b, vb)):
+        at = np.searchsorted(both, v)
+        hit = both[np.minimum(at, len(both) - 1)] == v if len(both) else np.zeros(len(v), bool)
+        doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[hit]
+        order = np.argsort(at[hit], kind="stable")
+        rows.append((at[hit][order], doc[order], len(sets)))
+    for lo in range(0, len(both), 4096):
+        dense = []
+        for col, doc, n in rows:
+            i, j = np.searchsorted(col, [lo, lo + 4096])
+            m = np.zeros((n, min(4096, len(both) - lo)), np.float32)
+            m[doc[i:j], col[i:j] - lo] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out.astype(np.int64)
+
+
+def _estimates(sa: np.ndarray, sb: np.ndarray, k: int) -> np.ndarray:
+    """Union-sketch estimates of pairs of sketches (rows, filled up with the largest long)."""
+    end = np.iinfo(np.int64).max
+    both = np.sort(np.concatenate([sa, sb], axis=1), axis=1)
+    twice = np.concatenate([both[:, 1:] == both[:, :-1], np.zeros((len(both), 1), bool)], axis=1) & (both != end)
+    first = np.concatenate([np.ones((len(both), 1), bool), both[:, 1:] != both[:, :-1]], axis=1) & (both != end)
+    place = np.cumsum(first, axis=1)
+    within = place <= k
+    return (twice & within).sum(1) / np.maximum((first & within).sum(1), 1)
+
+
+def _linker(percent: int, k: int, need_large: int):
+    """Links of one pair of blocks, as few as connect what is linked."""
+    def link(group: pa.Table) -> pa.Table:
+        rep, comp, side = (group[c].to_numpy() for c in ("rep", "comp", "side"))
+        data, offs = tb.utf8(group["text"])
+        sets: list[np.ndarray] = []
+        for i, j in tb.slabs(offs):
+            sets += shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+        size = np.array([len(s) for s in sets])
+        ia = np.flatnonzero(side == 0)
+        ib = np.flatnonzero(side == 1) if (side == 1).any() else ia
+        need = np.where(size * 100 <= k * percent, -(-size * percent // 100), need_large)
+        short = [s[:k] for s in sets]
+        pads = np.full((len(sets), k), np.iinfo(np.int64).max)
+        for i, s in enumerate(short):
+            pads[i, :len(s)] = s
+        over = _counts([short[i] for i in ia], [short[i] for i in ib])
+        maybe = (over >= np.maximum(need[ia][:, None], need[ib][None, :])) & (comp[ia][:, None] != comp[ib][None, :])
+        maybe &= np.minimum(size[ia][:, None], size[ib][None, :]) * 100 >= np.maximum(size[ia][:, None], size[ib][None, :]) * percent
+        x, y = np.nonzero(maybe)
+        likely = [np.zeros(0, bool)] + [_estimates(pads[ia[x[s:s + 8192]]], pads[ib[y[s:s + 8192]]], k) >= percent / 100 - ESTIMATE_SLACK
+                                        for s in range(0, len(x), 8192)]
+        keep = np.concatenate(likely)
+        x, y = x[keep], y[keep]
+        ux, uy = np.unique(x), np.unique(y)
+        both = _counts([sets[ia[i]] for i in ux], [sets[ib[i]] for i in uy])[np.searchsorted(ux, x), np.searchsorted(uy, y)]
+        linked = both * 100 >= (size[ia[x]] + size[ib[y]] - both) * percent
+        u, v = ia[x[linked]], ib[y[linked]]
+        label = np.arange(len(rep))
+        while len(u):  # the least row that each row reaches
+            low = np.minimum(label[u], label[v])
+            new = label.copy()
+            np.minimum.at(new, u, low)
+            np.minimum.at(new, v, low)
+            new = new[new]
+            if (new == label).all():
+                break
+            label = new
+        at = np.flatnonzero(label != np.arange(len(rep)))
+        return pa.table({"u": pa.array(rep[at], pa.int64()), "v": pa.array(rep[label[at]], pa.int64())})
+    return link
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                  k: int = K, need_large: int = NEED_LARGE, pivots: int = PIVOTS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
@@ -149,40 +264,30 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   .groupBy("doc_id").agg(F.min("text").alias("text")).withColumnRenamed("doc_id", "rep"), "near")
     links = saved(links, "near")
     comp = components(links)
-    tried = None
-    for t in range(pivots + 1):
-        now = (lists.join(comp, lists["rep"] == comp["node"], "left")
-               .select("value", "rep", "n", "mine", F.coalesce("component", "rep").alias("comp")))
+    for t in range(pivots):
+        now = _with_component(lists, comp)
         spread = now.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                           F.min(F.struct(F.xxhash64("rep", F.lit(t)).alias("h"), "rep", "n", "comp")).alias("p")).filter("lo != hi")
-        close = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent  # noqa: E731  sizes alone allow a link
-        if t < pivots:
-            pairs = now.join(spread.select("value", "p"), "value").filter((F.col("comp") != F.col("p.comp")) & close(F.col("n"), F.col("p.n"))) \
-                .select(F.least("rep", "p.rep").alias("u"), F.greatest("rep", "p.rep").alias("v"))
-        else:
-            live = saved(now.join(spread.select("value"), "value", "left_semi"), "near")
-            a, b = live.alias("a"), live.alias("b")
-            pairs = a.join(b, (F.col("a.value") == F.col("b.value")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.comp") != F.col("b.comp"))
-                           & close(F.col("a.n"), F.col("b.n"))
-                           & (F.array_min(F.array_intersect("a.mine", "b.mine")) == F.col("a.value"))) \
-                .select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = saved(pairs, "near")
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        close = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent  # sizes alone allow a link
+        pairs = (now.join(spread.select("value", "p"), "value").filter((F.col("comp") != F.col("p.comp")) & close)
+                 .select(F.least("rep", "p.rep").alias("u"), F.greatest("rep", "p.rep").alias("v")).distinct())
         su = sketches.select(F.col("rep").alias("u"), F.col("sketch").alias("su"))
         sv = sketches.select(F.col("rep").alias("v"), F.col("sketch").alias("sv"))
         likely = pairs.join(su, "u").join(sv, "v").filter(_estimate("su", "sv", k) >= percent / 100 - ESTIMATE_SLACK).select("u", "v")
         tu = texts.select(F.col("rep").alias("u"), F.col("text").alias("tu"))
         tv = texts.select(F.col("rep").alias("v"), F.col("text").alias("tv"))
-        sure = (likely.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv")
-                .mapInArrow(_overlaps, "u long, v long, both long, either long")
-                .filter(F.col("both") * 100 >= F.col("either") * percent).select("u", "v"))
-        new = saved(sure, "near")
+        new = saved(likely.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv")
+                    .mapInArrow(_overlaps, "u long, v long, both long, either long")
+                    .filter(F.col("both") * 100 >= F.col("either") * percent).select("u", "v"), "near")
         if not new.isEmpty():
             links = links.unionByName(new)
             comp = components(links)
+    now = _with_component(lists, comp)
+    live = saved(now.join(now.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("value"),
+                          "value", "left_semi").select("value", "rep", "comp"), "near")
+    new = saved(_block_pairs(live).join(texts, "rep").groupBy("pair").applyInArrow(_linker(percent, k, need_large), "u long, v long"), "near")
+    if not new.isEmpty():
+        comp = components(links.unionByName(new))
     found = members.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(comp, F.col("rep") == comp["node"], "left") \
         .select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     out = sk.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")
