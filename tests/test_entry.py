@@ -2,6 +2,7 @@ import duckdb
 from conftest import SF0001
 
 import __spark_entry__ as E
+from vaultweave.plans import catalog, oracle
 
 
 def test_entry_runs(spark):
@@ -11,7 +12,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_some_queries_against_duckdb_at_sf0001(spark):
@@ -20,7 +22,7 @@ def test_some_queries_against_duckdb_at_sf0001(spark):
         con.execute(f"create view {t} as select * from read_parquet('{SF0001}/{t}.parquet')")
     qs, sqls = E.queries(), E.oracle_sql()
     for name in ("hub_service_literal", "link_user_service_billing_period", "sat_issue_details",
-                 "sat_device_details", "dm_traffic", "ods_traffic"):
+                 "sat_device_details", "dm_traffic", "ods_traffic", "inc_hub_tariff", "inc_sat_user_details"):
         df = qs[name](spark, SF0001)
         cols = sorted(df.columns)
         got = sorted(tuple(str(r[c]) for c in cols) for r in df.collect())

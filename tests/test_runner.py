@@ -86,53 +86,37 @@ def test_staging_views_exist_during_run_and_are_dropped(spark, work):
     assert drop_year_views(spark, DWL, 1990) == []
 
 
-def test_saved_latest_state_gives_the_same_satellites_as_the_history_rule(spark, work):
+def test_reloaded_middle_year_counts_for_the_next_run(spark, work):
+    """A partition replaced by as many, other rows must change what the next run inserts."""
+    day = "TIMESTAMP_NTZ'{}-05-05 00:00:00'"
+
+    def pay(year, phone):
+        return spark.sql(f"""select 1 as user_id, 'x' as pay_doc_type, {year} as pay_doc_num, 'FL-1' as account, '{phone}' as phone,
+            '{year}-05' as billing_period, {day.format(year)} as pay_date, cast(1 as decimal(10,2)) as sum""")
+
+    store, t = TableStore(spark, f"{work}/s"), DWL.target("sat_user_details")
+    for i, y in enumerate((1995, 1996, 1997)):
+        run_year(spark, DWL, {"payment": pay(y, f"+{y}")}, store, y, only=[t.name], work_dir=f"{work}/{i}")
+    other = TableStore(spark, f"{work}/o")
+    run_year(spark, DWL, {"payment": pay(1997, "+7")}, other, 1997, only=[t.name], work_dir=f"{work}/x")
+    store.overwrite_year(other.read(t.name), t.name, 1997, col="load_year")
+    run_year(spark, DWL, {"payment": pay(1998, "+1997")}, store, 1998, only=[t.name], work_dir=f"{work}/4")
+    assert sorted(r.phone for r in store.read_public(t.name).collect()) == ["+1995", "+1996", "+1997", "+7"]
+
+
+def test_empty_satellite_source_leaves_the_other_targets_loaded(spark, work):
+    src = {s: ods_source(spark, SF0001, s) for s in ("payment", "billing")}
+    src["payment"] = src["payment"].limit(0)
+    store = TableStore(spark, f"{work}/s")
+    assert backfill(spark, FP, src, store, only=["hub_tariff", "sat_user_details"], work_dir=f"{work}/t") == []
+    assert store.read_public("hub_tariff").count() > 0
+    empty = store.read_public("sat_user_details", _schema(src, FP, FP.target("sat_user_details")))
+    assert empty.count() == 0 and "user_pk" in [c.lower() for c in empty.columns]
+
+
+def test_years_come_from_the_folder_names(spark, work):
+    store = TableStore(spark, f"{work}/s")
+    assert store.years(store.path("hub_user")) == []
     src = {"payment": ods_source(spark, SF0001, "payment")}
-    only = ["sat_user_details", "sat_pay_doc_details"]
-    runs = [1995, 1996, 1997, 1997, 1996, 1998, 1999]      # in order, rerun, out of order, in order
-    import vaultweave.plans.yearly as Y
-
-    with_state, plain = TableStore(spark, f"{work}/s"), TableStore(spark, f"{work}/p")
-    calls = []
-    orig = Y.latest_hashdiffs
-    Y.latest_hashdiffs = lambda *a, **k: calls.append(1) or orig(*a, **k)
-    try:
-        for i, y in enumerate(runs):
-            run_year(spark, DWL, src, with_state, y, only=only, work_dir=f"{work}/a{i}")
-    finally:
-        Y.latest_hashdiffs = orig
-    # history rule for 1996 (nothing saved yet) in both satellites, and for 1998 only in the user
-    # satellite: the rerun and the out-of-order run added user rows but no pay-doc rows (a pay
-    # doc belongs to one year), so the pay-doc set saved after 1997 was still valid; 1997 and
-    # 1999 use saved sets. Without saved sets it would be 4 in-order runs x 2 satellites.
-    assert len(calls) == 3
-    for i, y in enumerate(runs):
-        run_year(spark, DWL, src, plain, y, only=only, work_dir=f"{work}/b{i}", latest_state=False)
-    for n in only:
-        sch = _schema(src, DWL, DWL.target(n))
-        assert rows_of(with_state.read_public(n, sch)) == rows_of(plain.read_public(n, sch)), n
-    # the in-order runs saved their sets (e.g. after 1996 and after 1999)
-    saved = spark.read.parquet(f"{work}/s/_latest/sat_user_details/*").inputFiles()
-    assert any("/19990101000000000000-" in f for f in saved)
-
-
-def test_yearly_run_after_backfill_starts_from_the_folds_saved_sets(spark, work):
-    import vaultweave.plans.yearly as Y
-
-    src = {"payment": ods_source(spark, SF0001, "payment")}
-    only = ["sat_user_details", "sat_pay_doc_details"]
-    a, b = TableStore(spark, f"{work}/a"), TableStore(spark, f"{work}/b")
-    for store in (a, b):
-        backfill(spark, DWL, src, store, [1995, 1996, 1997], only=only, work_dir=f"{store.root}-tmp")
-    calls = []
-    orig = Y.latest_hashdiffs
-    Y.latest_hashdiffs = lambda *x, **k: calls.append(1) or orig(*x, **k)
-    try:
-        run_year(spark, DWL, src, a, 1998, only=only, work_dir=f"{work}/ya")
-    finally:
-        Y.latest_hashdiffs = orig
-    assert calls == []
-    run_year(spark, DWL, src, b, 1998, only=only, work_dir=f"{work}/yb", latest_state=False)
-    for n in only:
-        sch = _schema(src, DWL, DWL.target(n))
-        assert rows_of(a.read_public(n, sch)) == rows_of(b.read_public(n, sch)), n
+    backfill(spark, DWL, src, store, [1995, 1997], only=["hub_pay_doc"], work_dir=f"{work}/t")
+    assert store.years(store.path("hub_pay_doc")) == [1995, 1997]

@@ -5,7 +5,6 @@ Layers:
   sources/    entity frames derived from the driver tables, parquet table store
   operators/  stage, hub, link, satellite, ODS load, traffic mart
   plans/      specs of every target (data), the yearly runner, query catalogue, oracle SQL
-  streaming/  a Structured Streaming sink that applies the vault loads per micro-batch
 """
 
 __version__ = "0.1.0"

@@ -37,8 +37,10 @@ def candidates(stg: DataFrame, spec: SatSpec) -> DataFrame:
     return stg.select(*sat_columns(spec)).distinct()
 
 
-def latest_hashdiffs(tgt: DataFrame, spec: SatSpec, as_of: dt.datetime | str | None = None) -> DataFrame:
-    """(pk, hashdiff) of each pk's most recent load with load_date <= as_of (NULL pks excluded)."""
+def latest_hashdiffs(tgt: DataFrame, spec: SatSpec, as_of: dt.datetime | str | None = None,
+                     batch: DataFrame | None = None) -> DataFrame:
+    """(pk, hashdiff) of each pk's most recent load with load_date <= as_of (NULL pks excluded);
+    with ``batch``, of the pks that it holds."""
     pk, hd = spec.pk, spec.hashdiff
     t = tgt.where(F.col(pk).isNotNull())
     if as_of is not None:
@@ -49,6 +51,8 @@ def latest_hashdiffs(tgt: DataFrame, spec: SatSpec, as_of: dt.datetime | str | N
     # A NULL hash diff never matches a batch row but still marks its pk's last load, so it is
     # kept, as '' (an md5 hex is never empty). The column is then non-nullable and both uses of
     # ``a`` stay identical plans, so Spark reuses one exchange instead of scanning twice.
+    if batch is not None:                # only keys that the batch can change
+        t = t.join(batch.where(F.col(pk).isNotNull()).select(pk).distinct(), pk, "left_semi")
     a = (t.groupBy(pk, F.coalesce(F.col(hd), F.lit("")).alias(hd))
          .agg(F.max("load_date").alias("_last")))
     m = a.groupBy(F.col(pk).alias("_m_pk")).agg(F.max("_last").alias("_pk_last"))
@@ -62,4 +66,4 @@ def sat_rows(stg: DataFrame, tgt: DataFrame | None, spec: SatSpec, load_date: dt
     cand = candidates(stg, spec)
     if tgt is None:
         return cand
-    return cand.join(latest_hashdiffs(tgt, spec, as_of=load_date), [spec.pk, spec.hashdiff], "left_anti")
+    return cand.join(latest_hashdiffs(tgt, spec, load_date, cand), [spec.pk, spec.hashdiff], "left_anti")

@@ -2,7 +2,7 @@
 
 ``stage(src, spec, year=Y, load_date=D)`` is the yearly view: rows whose time column falls in
 year Y, ``load_date`` = D. ``stage(src, spec, load_date=D)`` takes the whole input as one load (a
-streaming micro-batch). ``stage(src, spec)`` stages every year at once: each row gets the run
+micro-batch). ``stage(src, spec)`` stages every year at once: each row gets the run
 date of its own yearly batch (1 January of its year), which is what a year-by-year backfill
 would have given it. Either way this is one projection over a scan; the year filter is a range on
 the raw column, so parquet skips row groups and the rest of the plan stays in one codegen stage.

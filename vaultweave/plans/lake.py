@@ -3,8 +3,8 @@
 ``run_lake_year`` is one yearly run: each ODS table gets exactly its ``year=Y`` partition
 replaced (emptied when the raw table has no rows of that year), then the mart's ``year=Y``
 partition is rebuilt from the ODS traffic partition. ``backfill_lake`` does the same for many
-years with one scan and one append per table, after emptying every requested year (a dynamic
-partition overwrite would leave partitions that get no rows, unlike the yearly overwrite).
+years with one dynamic partition overwrite per table, and empties the requested years that get no
+rows (which that overwrite would leave, unlike the yearly one).
 """
 
 from __future__ import annotations
@@ -28,12 +28,15 @@ def run_lake_year(spark: SparkSession, stg: dict[str, DataFrame], store: TableSt
 
 
 def _overwrite_years(spark: SparkSession, df: DataFrame, store: TableStore, name: str, years: list[int]) -> None:
-    """Replace partitions ``year in years`` with the rows of ``df``: empty each of them (a
-    zero-row write, Catalyst folds ``limit(0)`` away), then append all years in one job."""
-    for y in sorted(set(years)):
+    """Replace partitions ``year in years`` with the rows of ``df``: those that get rows in one
+    dynamic overwrite, so a failed run leaves the old rows; only years without rows are emptied
+    (a zero-row write, Catalyst folds ``limit(0)`` away)."""
+    rows = df.where(F.col("year").isin(years))
+    filled = {r[0] for r in rows.select("year").distinct().collect()}      # at most len(years)
+    if filled:
+        store.overwrite_years(rows, name)
+    for y in sorted(set(years) - filled):
         store.overwrite_year(df.limit(0), name, y)
-    (df.where(F.col("year").isin(years))
-       .write.mode("append").partitionBy("year").parquet(store.path(name)))
 
 
 def backfill_lake(spark: SparkSession, stg: dict[str, DataFrame], store: TableStore, years: list[int]) -> None:

@@ -10,6 +10,7 @@ ties kept), over the target accumulated so far.
 from __future__ import annotations
 
 from vaultweave.functions.hashing import NULL_TOKEN, SEPARATOR, sentinel
+from vaultweave.plans.catalog import INCREMENTAL
 from vaultweave.plans.specs import DWL, FP, HubSpec, LinkSpec, SatSpec, StageSpec, VaultSpec
 
 # Years the satellite SQL unrolls (levels without data are empty). The Spark side has no such
@@ -34,8 +35,7 @@ ENTITY_SQL = {
                l_shipdate + interval 2 day as end_time, 'return ' || p_type as title,
                'line ' || cast(l_linenumber as varchar) || ' status ' || l_linestatus as description,
                p_brand as service
-        from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
-        where l_returnflag = 'R'""",
+        from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey""",
     "traffic": """
         select user_id, ts as timerequest, regexp_extract(props, '([0-9]+)', 1) as device_id,
                '10.0.0.' || cast(event_id % 4 as varchar) as device_ip_addr,
@@ -198,4 +198,6 @@ def oracle_sql() -> dict[str, str]:
         o[t.name] = target_sql(FP, t.name)
     for t in DWL.targets():
         o[f"dwl_{t.name}"] = target_sql(DWL, t.name)
+    for name in INCREMENTAL:
+        o[f"inc_{name}"] = target_sql(FP, name)
     return o

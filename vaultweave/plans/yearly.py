@@ -10,10 +10,6 @@ fewer jobs: hubs and links load every year in one pass (their result is each key
 satellites fold year by year over a small "latest" state table. When the target already holds
 a load at or after the first year, satellites fall back to ``run_year``'s rule per year.
 
-Both keep each satellite's latest key set after an in-order load (``_latest/<name>/...`` in the
-store, named by the target's last load date and row count), so the next scheduled run reads
-that set instead of the satellite's whole history while it still matches the target.
-
 The staged batch is written once to the work folder (partitioned by load year) instead of being
 recomputed per target: each target then scans only its own columns, and a lost executor costs a
 re-read, not a recomputation of the hashes.
@@ -22,7 +18,6 @@ re-read, not a recomputation of the hashes.
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,14 +103,11 @@ def _prepare(staged: DataFrame, targets, source: str, path: str, partition_by: s
 
 
 def run_load(spark: SparkSession, vault: VaultSpec, staged: dict[str, DataFrame], store: TableStore,
-             load_date: dt.datetime, targets, latest_state: bool = True) -> None:
+             load_date: dt.datetime, targets) -> None:
     """Apply one load (staged batches with a single run date) to every target."""
     for t in targets:                                   # hubs, links, satellites: spec order
         stg = staged[t.source]
         schema = stg.select(*target_columns(t)).schema
-        if isinstance(t, SatSpec) and latest_state:
-            _sat_load_with_state(store, t, stg, load_date, schema)
-            continue
         tgt = store.read(t.name, schema)
         if isinstance(t, HubSpec):
             rows = hub_rows(stg, tgt, t)
@@ -126,45 +118,6 @@ def run_load(spark: SparkSession, vault: VaultSpec, staged: dict[str, DataFrame]
         store.append(rows, t.name)
 
 
-def _state_path(store: TableStore, name: str, as_of: dt.datetime, rows: int) -> str:
-    return f"{store.root}/_latest/{name}/{as_of:%Y%m%d%H%M%S%f}-{rows}"
-
-
-def _sat_load_with_state(store: TableStore, t: SatSpec, stg: DataFrame, load_date: dt.datetime, schema) -> None:
-    """Satellite load that reads a saved "latest" key set instead of the whole history.
-
-    A yearly run after every load in the target (the scheduled case) needs each pk's latest set
-    as of the target's last load. It is saved after each such run under a path naming the
-    target's last load date and row count; the next run uses it only if both still match the
-    target (any append, rerun or out-of-order load changes the count). Otherwise, and for runs
-    at or before the last load, the general rule over the history applies. Costs per run: a row
-    count (parquet footers), one aggregate over the newest partition, the saved set, the batch.
-    """
-    pk, hd = t.pk, t.hashdiff
-    tgt = store.read(t.name, schema)
-    last = _last_load(tgt)
-    if last is None or load_date <= last:
-        store.append(sat_rows(stg, tgt, t, load_date), t.name)      # general rule
-        return
-    rows = tgt.count()
-    latest = store.read_path(_state_path(store, t.name, last, rows), f"{pk} string, {hd} string")
-    from_saved = latest is not None
-    if latest is None:
-        latest = latest_hashdiffs(tgt, t)
-    store.append(candidates(stg, t).join(latest, [pk, hd], "left_anti"), t.name)
-
-    after = store.read(t.name, schema)
-    inserted = after.where((F.col(LOAD_YEAR) == load_date.year) &
-                           (F.col("load_date") == F.lit(f"{load_date:%Y-%m-%d %H:%M:%S.%f}").cast("timestamp_ntz")))
-    n = inserted.count()
-    if n == 0 and from_saved:
-        return                                              # saved set is still current
-    new = (inserted.where(F.col(pk).isNotNull())
-           .select(pk, F.coalesce(F.col(hd), F.lit("")).alias(hd)).distinct())
-    kept = latest.join(new.select(pk).distinct(), pk, "left_anti")
-    materialize(kept.unionByName(new), _state_path(store, t.name, load_date if n else last, rows + n))
-
-
 def stage_load(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], targets, work: str,
                year: int | None, load_date: dt.datetime) -> dict[str, DataFrame]:
     staged = {}
@@ -185,8 +138,7 @@ def drop_year_views(spark: SparkSession, vault: VaultSpec, year: int) -> list[st
 
 
 def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
-             year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None,
-             latest_state: bool = True) -> None:
+             year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None) -> None:
     """One scheduled yearly run: rows of ``year``, run date ``load_date`` (default 1 January).
 
     The staged batches are visible as session views while the run lasts (for SQL users and
@@ -198,38 +150,25 @@ def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
     try:
         for name, df in staged.items():
             df.createOrReplaceTempView(view_name(vault, name, year))
-        run_load(spark, vault, staged, store, ld, targets, latest_state)
+        run_load(spark, vault, staged, store, ld, targets)
     finally:
         drop_year_views(spark, vault, year)
 
 
-def _years_of(df: DataFrame) -> set[int]:
-    """Load years of a table written partitioned by load year, from its file paths (no job)."""
-    found = set()
-    for f in df.inputFiles():
-        m = re.search(rf"/{LOAD_YEAR}=(\d+)/", f)
-        if m:
-            found.add(int(m.group(1)))
-    return found
-
-
-def _last_load(tgt: DataFrame | None):
-    """Latest load_date of a store table: newest load-year partition from the file listing, then
-    one aggregate over that partition only (not a scan of the whole history)."""
-    if tgt is None:
-        return None
-    years = _years_of(tgt)
-    if not years:
+def _last_load(store: TableStore, t, tgt: DataFrame | None):
+    """Latest load_date of a target: newest load-year folder, then one aggregate over that
+    partition only (not a scan of the whole history)."""
+    years = store.years(store.path(t.name))
+    if tgt is None or not years:
         return None
     return tgt.where(F.col(LOAD_YEAR) == max(years)).agg(F.max("load_date")).first()[0]
 
 
 def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
-             years: list[int] | None = None, only=None, work_dir: str | None = None,
-             save_latest: bool = True) -> list[int]:
+             years: list[int] | None = None, only=None, work_dir: str | None = None) -> list[int]:
     """Load ``years`` (all years in the data when None) in increasing order. Returns the years
-    the satellites were folded over (empty when only hubs and links were selected).
-    ``save_latest`` keeps each folded satellite's final latest set for the next ``run_year``."""
+    the satellites were folded over (empty when only hubs and links were selected, or the
+    satellites' sources hold no rows)."""
     targets = _selected(vault, only)
     work = work_dir or new_work_dir(spark, "backfill")
     staged: dict[str, DataFrame] = {}
@@ -242,10 +181,8 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         staged[name] = _prepare(s, targets, name, f"{work}/stage_{name}", partition_by=LOAD_YEAR)
     if years is None:
         sat_sources = {t.source for t in targets if isinstance(t, SatSpec)}
-        years = sorted(set().union(*[_years_of(staged[n]) for n in sat_sources])) if sat_sources else []
+        years = sorted(set().union(*[store.years(f"{work}/stage_{n}") for n in sat_sources])) if sat_sources else []
     years = sorted(set(years))
-    if not years and any(isinstance(t, SatSpec) for t in targets):
-        return years
 
     sats = []
     for t in targets:
@@ -256,13 +193,13 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
             store.append(hub_rows(stg, tgt, t), t.name)
         elif isinstance(t, LinkSpec):
             store.append(link_rows(stg, tgt, t), t.name)
-        else:
+        elif years:                                     # no year, no row for a satellite
             sats.append((t, tgt, schema))
 
     first_load = dt.datetime(years[0], 1, 1) if years else None
     folded = []
     for t, tgt, schema in sats:
-        last = _last_load(tgt)
+        last = _last_load(store, t, tgt)
         if last is not None and last >= first_load:
             # the target already holds a load at/after this backfill: general rule, load by load
             for y in years:
@@ -273,18 +210,9 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         else:
             folded.append((t, tgt))
     if folded:
-        inserted, final = fold_satellite_keys(spark, [(t, staged[t.source], tgt) for t, tgt in folded],
-                                              years, f"{work}/sat_state")
+        inserted = fold_satellite_keys(spark, [(t, staged[t.source], tgt) for t, tgt in folded], years, f"{work}/sat_state")
         for t, _ in folded:
             store.append(_inserted_rows(staged[t.source].drop(LOAD_YEAR), t, inserted), t.name)
-            if not save_latest:
-                continue
-            # the fold ends with this satellite's latest set: save it for the next yearly run
-            after = store.read(t.name, dict((x[0], x[2]) for x in sats)[t])
-            last = _last_load(after)
-            if last is not None:
-                keys = final.where(F.col("sat") == t.name).select(F.col("pk").alias(t.pk), F.col("hd").alias(t.hashdiff))
-                materialize(keys, _state_path(store, t.name, last, after.count()))
     return years
 
 
@@ -298,8 +226,7 @@ def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str)
     ``(sat, pk, hd, ins_load)``. Per load: batch keys not in the state are inserted; every
     (sat, pk) that got an insert has its set replaced by the inserted keys. The state is written
     once per load, partitioned by ``is_new``, so the keys inserted at that load are its
-    ``is_new=true`` partition. Returns those keys of all loads, (sat, pk, hd, load_date), and
-    the final state (every satellite's latest set after the last load).
+    ``is_new=true`` partition. Returns those keys of all loads, (sat, pk, hd, load_date).
     One written table per load regardless of the number of satellites; each step reads the
     batch keys of its own year (partition pruned) and the previous state.
     """
@@ -341,7 +268,7 @@ def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str)
     out = new_parts[0]
     for p in new_parts[1:]:
         out = out.unionByName(p)
-    return out, state
+    return out
 
 
 def _inserted_rows(staged: DataFrame, t: SatSpec, inserted: DataFrame) -> DataFrame:

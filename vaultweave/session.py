@@ -65,13 +65,3 @@ def _with_partition(df: DataFrame, partition_by: str | None):
     fields = [f for f in df.schema.fields if f.name != partition_by]
     fields += [f for f in df.schema.fields if f.name == partition_by]
     return StructType(fields)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the session's parallelism when its scan yields fewer partitions
-    (a few large unsplittable files); CPU-heavy projections such as hashing then use every core.
-    Inputs that already have enough partitions (the normal case at scale) are left alone."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

@@ -12,13 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultweave.functions.time import ts_to_epoch_ms
-from vaultweave.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. Each is a single file with one row group (one scan task), so rows are
-    spread over the session's cores right after the scan; see ``session.spread``."""
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def payment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,10 +32,8 @@ def payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str, returned_only: bool) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    if returned_only:
-        li = li.where(F.col("l_returnflag") == "R")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
@@ -46,7 +41,7 @@ def _lines(spark: SparkSession, sf_dir: str, returned_only: bool) -> DataFrame:
 
 
 def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir, False).select(
+    return _lines(spark, sf_dir).select(
         F.col("o_custkey").alias("user_id"),
         F.substring(F.col("l_shipdate").cast("string"), 1, 7).alias("billing_period"),
         F.col("p_type").alias("service"),
@@ -57,7 +52,7 @@ def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def issue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir, True).select(
+    return _lines(spark, sf_dir).select(
         F.col("o_custkey").cast("int").alias("user_id"),
         F.col("l_shipdate").alias("start_time"),
         (F.col("l_shipdate") + F.expr("INTERVAL 2 DAYS")).alias("end_time"),

@@ -37,25 +37,29 @@ class TableStore:
                 return None
             raise
 
-    def read_path(self, path: str, schema: str | StructType) -> DataFrame | None:
-        """A side table at an exact path, or None when it was never written."""
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
+    def years(self, path: str) -> list[int]:
+        """Load years of a partitioned table, from its folder names (one listing, no file is opened)."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{LOAD_YEAR}=") and n.split("=")[1].isdigit())
 
     def read_public(self, name: str, schema: StructType | None = None) -> DataFrame | None:
+        """The table without its partition column; with a schema, a table never written is empty."""
         df = self.read(name, schema)
-        return None if df is None else df.drop(LOAD_YEAR)
+        if df is None:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        return df.drop(LOAD_YEAR)
 
     def append(self, rows: DataFrame, name: str) -> None:
         (rows.withColumn(LOAD_YEAR, F.year("load_date"))
              .write.mode("append").partitionBy(LOAD_YEAR).parquet(self.path(name)))
 
-    def overwrite(self, rows: DataFrame, name: str) -> None:
-        rows.write.mode("overwrite").parquet(self.path(name))
+    def overwrite_years(self, rows: DataFrame, name: str, col: str = "year") -> None:
+        """Replace the partitions that ``rows`` holds, in one commit; others stay."""
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(self.path(name)))
 
     def overwrite_year(self, rows: DataFrame, name: str, year: int, col: str = "year") -> None:
         """Replace partition ``col=year`` with ``rows`` (which carry no partition column)."""
