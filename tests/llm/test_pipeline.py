@@ -1,0 +1,35 @@
+import zlib
+
+from odd_rows import edge_docs, edge_rows, no_docs  # noqa: F401
+import corpus_pipeline as P
+from vaultweave.llm import near_dedup
+from vaultweave.llm.common import saved
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_and_run(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names, frames = docs.columns, [docs]
+    for _, stage in P.STAGES:
+        frames.append(saved(stage(spark, frames[-1], SF), "t"))
+    known, one, private, mixed, packed = frames[1:]
+    assert all(f.columns == names for f in (known, one, private, mixed))
+    assert known.count() == docs.count()
+    classes = near_dedup.near_classes(known)
+    assert {r.doc_id for r in one.collect()} == {r.doc_id for r in classes.filter("kept").collect()}
+    before, after = ({r.doc_id: r.text for r in f.collect()} for f in (one, private))
+    assert before.keys() == after.keys() and all(len(before[i]) == len(after[i]) for i in before)
+    rows = mixed.collect()
+    assert {r.doc_id: r.text for r in rows}.items() <= after.items()
+    pieces = packed.collect()
+    assert sum(r.length for r in pieces if r.start == 0) > 0 and {r.doc_id for r in pieces} == {r.doc_id for r in rows}
+    key = lambda f: sorted(zlib.crc32(str(tuple(r)).encode()) for r in f.collect())
+    assert key(P.run(spark, SF)) == key(packed)
+
+
+def test_empty_and_odd_rows(spark, edge_docs, no_docs):
+    for docs in (no_docs, edge_docs.select("doc_id", "text", "lang", "source", "n_chars")):
+        for _, stage in P.STAGES:
+            docs = saved(stage(spark, docs, SF), "t")
+        docs.count()
