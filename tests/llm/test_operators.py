@@ -202,6 +202,15 @@ def test_mixing_meets_targets_and_odd_rows(docs, edge_docs, no_docs):
     odd = mixing.mix_sources(edge_docs, budget=500)
     assert odd.columns == [*edge_docs.columns, "copy", "shuffle_key"] and {r.source for r in odd.collect()} == {"a", "b", "c", None}
     assert mixing.mix_sources(no_docs).count() == 0
+    from pyspark.sql import functions as F
+
+    own = docs.withColumn("Copy", F.lit("mine")).withColumn("shuffle_key", F.lit("too"))
+    clash = mixing.mix_sources(own)
+    assert clash.columns == [*own.columns, "mix_copy", "mix_shuffle_key"]
+    assert {(r.Copy, r.shuffle_key) for r in clash.collect()} == {("mine", "too")}
+    plain = mixing.mix_sources(docs)
+    assert sorted(map(tuple, clash.select("doc_id", "mix_copy", "mix_shuffle_key").collect())) == sorted(
+        map(tuple, plain.select("doc_id", "copy", "shuffle_key").collect()))
 
 
 def test_top_k_odd_rows(spark):

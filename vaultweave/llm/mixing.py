@@ -37,10 +37,11 @@ def rates(docs: DataFrame, source_col: str = "source", targets: dict | None = No
     else:
         w = docs.sparkSession.createDataFrame([(k, float(v)) for k, v in targets.items()], "t string, weight double")
         weighed = n.join(w, n["src"].eqNullSafe(w["t"]), "left").select("src", "n", F.coalesce("weight", F.lit(0.0)).alias("weight"))
-    total = weighed.agg(F.sum("n").alias("rows"), F.sum("weight").alias("weights"))
-    amount = F.col("rows").cast("double") if budget is None else F.lit(float(budget))
-    mean = F.when(F.col("weights") > 0, F.col("weight") / F.col("weights") * amount / F.col("n")).otherwise(0.0)
-    rate = weighed.join(total).withColumn("rate", mean).withColumn("pieces", F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int"))
+    weighed = saved(weighed, "mix")
+    rows, weights = (float(x or 0) for x in weighed.agg(F.sum("n"), F.sum("weight")).first())
+    amount = rows if budget is None else float(budget)
+    mean = F.col("weight") / F.lit(weights) * F.lit(amount) / F.col("n") if weights > 0 else F.lit(0.0)
+    rate = weighed.withColumn("rate", mean).withColumn("pieces", F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int"))
     mu = F.col("rate") / F.col("pieces")
     first = F.struct(F.array(F.exp(-mu)).alias("cdf"), F.exp(-mu).alias("p"))
     step = lambda a, k: F.struct(F.concat(a["cdf"], F.array(F.element_at(a["cdf"], -1) + a["p"] * mu / k)).alias("cdf"), (a["p"] * mu / k).alias("p"))
@@ -51,6 +52,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
                 budget: float | None = None, seed: str = SEED) -> DataFrame:
     """The columns of ``docs`` once per drawn copy, with ``copy`` (from 1) and ``shuffle_key``, in shuffled order."""
     table_of = saved(rates(docs, source_col, targets, budget), "mix")
+    taken = {c.lower() for c in docs.columns}
+    copy, order = (f"mix_{c}" if c in taken else c for c in ("copy", "shuffle_key"))
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     names = docs.columns
     uniform = lambda i: F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), ident, i.cast("string"))), 1, 13), 16, 10).cast("double") / float(1 << 52)
@@ -58,9 +61,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     copies = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("__pieces")), draw), F.lit(0), lambda a, x: a + x)
     r = table_of.select(F.col("src").alias("__src"), F.col("pieces").alias("__pieces"), F.col("cdf").alias("__cdf"), F.col("rate").alias("__rate"))
     drawn = (docs.join(r, docs[source_col].eqNullSafe(r["__src"])).filter("__rate > 0").withColumn("__n", copies)
-             .filter("__n > 0").select(*[docs[c] for c in names], F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy")))
-    key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), ident, F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
-    return drawn.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key", id_col, "copy")
+             .filter("__n > 0").select(*[docs[c] for c in names], F.explode(F.sequence(F.lit(1), F.col("__n"))).alias(copy)))
+    key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), ident, F.col(copy).cast("string"))), 1, 15), 16, 10).cast("long")
+    return drawn.withColumn(order, key).repartition(order).sortWithinPartitions(order, id_col, copy)
 
 
 def op6_mixing_sources(spark, sf_dir: str) -> DataFrame:
