@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
 from conftest import SF0001
 from helpers import rows_of
+from pyspark.sql import functions as F
 
 from vaultweave.operators.staging import stage
 from vaultweave.plans.specs import DWL, FP
@@ -23,8 +25,8 @@ def test_backfill_equals_year_by_year_runs(spark, work):
     years = [1995, 1996, 1997, 2024]
     folded, bulk = TableStore(spark, f"{work}/fold"), TableStore(spark, f"{work}/bulk")
     for y in years:
-        run_year(spark, FP, src, folded, y, work_dir=f"{work}/tmp{y}")
-    backfill(spark, FP, src, bulk, years, work_dir=f"{work}/tmpb")
+        run_year(spark, FP, src, folded, y, work_dir=f"{work}/tmp{y}", hub_form="both")
+    backfill(spark, FP, src, bulk, years, work_dir=f"{work}/tmpb", hub_form="both")
     for t in FP.targets():
         sch = _schema(src, FP, t)
         a, b = folded.read_public(t.name, sch), bulk.read_public(t.name, sch)
@@ -47,7 +49,7 @@ def test_backfill_on_top_of_existing_target_and_rerun(spark, work):
     backfill(spark, DWL, src, store, [1998], work_dir=f"{work}/t3")           # rerun: general rule
     for y in (1995, 1996, 1997, 1998, 1998):
         run_year(spark, DWL, src, ref, y, work_dir=f"{work}/r{y}-{len(str(ref))}")
-    for t in DWL.targets():
+    for t in DWL.targets("literal"):
         sch = _schema(src, DWL, t)
         assert rows_of(store.read_public(t.name, sch)) == rows_of(ref.read_public(t.name, sch)), t.name
 
@@ -120,3 +122,38 @@ def test_years_come_from_the_folder_names(spark, work):
     src = {"payment": ods_source(spark, SF0001, "payment")}
     backfill(spark, DWL, src, store, [1995, 1997], only=["hub_pay_doc"], work_dir=f"{work}/t")
     assert store.years(store.path("hub_pay_doc")) == [1995, 1997]
+
+
+def test_hub_form_decides_which_of_the_two_hubs_is_loaded(spark, work):
+    for form, there, absent in (("literal", "hub_billing_period_literal", "hub_billing_period"),
+                                ("own_pk", "hub_billing_period", "hub_billing_period_literal")):
+        store = TableStore(spark, f"{work}/{form}")
+        run_year(spark, DWL, {"payment": ods_source(spark, SF0001, "payment")}, store, 1996, work_dir=f"{work}/t{form}", hub_form=form)
+        assert store.read(there).count() > 0 and store.read(absent) is None
+    assert {h.name for h in FP.hubs} - {t.name for t in FP.targets("literal")} == {"hub_billing_period", "hub_service"}
+
+
+def test_a_failing_target_is_reported(spark, work):
+    class Full(TableStore):
+        def append(self, rows, name):
+            if name == "link_user_account":
+                raise OSError("no space")
+            super().append(rows, name)
+
+    store = Full(spark, f"{work}/s")
+    with pytest.raises(OSError, match="no space"):
+        run_year(spark, DWL, {"payment": ods_source(spark, SF0001, "payment")}, store, 1996, work_dir=f"{work}/t")
+    run_year(spark, DWL, {"payment": ods_source(spark, SF0001, "payment")}, TableStore(spark, f"{work}/s"), 1996, work_dir=f"{work}/u")
+    keys = [r[0] for r in store.read("hub_user").select("user_pk").collect()]
+    assert store.read("link_user_account").count() > 0 and len(keys) == len(set(keys))
+
+
+def test_years_of_one_load_keys_are_not_folded(spark, work):
+    """Pay documents occur in one load each: their keys come from the closed form, no state is written."""
+    from vaultweave.plans.yearly import fold_satellite_keys
+
+    staged = stage(ods_source(spark, SF0001, "payment"), DWL.stages["payment"]).withColumn("load_year", F.year("load_date"))
+    t = DWL.target("sat_pay_doc_details")
+    keys = fold_satellite_keys(spark, [(t, staged, None)], [1995, 1996], f"{work}/f")
+    assert keys.count() == staged.where("load_year in (1995, 1996)").select(t.pk, t.hashdiff).distinct().count()
+    assert TableStore(spark, work).years(f"{work}/f/keys/many=true") == []

@@ -45,7 +45,6 @@ def ts_to_epoch_ms(c: str | Column) -> Column:
 
 
 def epoch_ms_to_ts(c: str | Column) -> Column:
-    """Exact inverse of ``ts_to_epoch_ms`` for whole milliseconds (decimal seconds, no double)."""
+    """Exact inverse of ``ts_to_epoch_ms`` for whole milliseconds (long arithmetic)."""
     col = F.col(c) if isinstance(c, str) else c
-    secs = (col.cast("decimal(20,0)") / F.lit(1000)).cast("decimal(18,6)")
-    return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    return F.timestamp_add("MILLISECOND", col.cast("long"), F.lit(_EPOCH).cast("timestamp_ntz"))

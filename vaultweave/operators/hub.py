@@ -10,8 +10,10 @@ and returns what loading them one after another, oldest first, would append: per
 the rows picked at its first load; NULL pks never match the hub, so each load adds its NULL row
 again. With one load this is exactly the yearly statement.
 
-Plan shape: the pick is an aggregate with a partial (map-side) step, so a key holding a third of
-all rows is reduced before the shuffle; the anti join shuffles one row per pk. AQE turns the
+Plan shape: the first step groups by pk, keys and source and takes the least load date, a hash
+aggregate with a map-side step, so a key holding a third of all rows is reduced before any shuffle and
+the staged rows are never sorted. The pick (a minimum of structs, which Spark sorts for) then sees one
+row per distinct key text. The anti join shuffles one row per pk. AQE turns the
 join into a broadcast at run time when the measured side is small, and splits skewed partitions
 (``dedup_by`` different from pk can give many rows per pk).
 """
@@ -34,14 +36,18 @@ def hub_rows(stg: DataFrame, tgt: DataFrame | None, spec: HubSpec) -> DataFrame:
     pk, keys = spec.pk, list(spec.keys)
     dedup = spec.dedup_by or pk
     if dedup == pk:
-        # min over (load_date, keys, source) per pk = first load, then the tie-break; NULL pks
-        # are grouped per load instead (one NULL row per load).
+        # distinct (pk, keys, source) with their first load; then, per pk, the least (load_date, keys,
+        # source) = first load and tie-break. NULL pks are grouped per load (one NULL row per load).
         null_load = F.when(F.col(pk).isNull(), F.col("load_date")).alias("_null_load")
-        picked = (stg.groupBy(F.col(pk), null_load)
+        firsts = stg.groupBy(pk, *keys, "record_source", null_load).agg(F.min("load_date").alias("load_date"))
+        picked = (firsts.groupBy(pk, "_null_load")
                   .agg(F.min(F.struct("load_date", *keys, "record_source")).alias(_PICK))
                   .select(pk, *[F.col(f"{_PICK}.{c}").alias(c) for c in ["load_date", *keys, "record_source"]]))
     else:
-        per_load = (stg.groupBy("load_date", dedup)
+        # the load date is carried as an aggregate: Catalyst drops a plain distinct under min()
+        rows = (stg.groupBy(*dict.fromkeys([dedup, pk, *keys]), "record_source", F.col("load_date").alias("_load"))
+                .agg(F.max("load_date").alias("load_date")))
+        per_load = (rows.groupBy("load_date", dedup)
                     .agg(F.min(F.struct(pk, *keys, "record_source")).alias(_PICK))
                     .select("load_date", *[F.col(f"{_PICK}.{c}").alias(c) for c in [pk, *keys, "record_source"]]))
         # keep each pk's rows of its first load only (all of them: the reference inserts them all)

@@ -3,8 +3,9 @@
 ``link_rows`` accepts one or several loads like ``hub_rows``: distinct rows of each load (the
 distinct also covers ``also_distinct_on`` columns, which are then dropped, as the reference
 does), keep a non-NULL link pk only at its first load, drop pks already in the link.
-Distinct is a partial aggregate, so hot relations are reduced map-side before any shuffle; after
-it, every later step (first-load window, anti join) sees at most a few rows per pk.
+The distinct keeps each relation's first load date, a hash aggregate with a map-side step: hot
+relations are reduced before any shuffle, and one row per relation, not per relation and load, goes
+on to the first-load window and the anti join. NULL pks are kept per load.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ def link_columns(spec: LinkSpec) -> list[str]:
 
 def link_rows(stg: DataFrame, tgt: DataFrame | None, spec: LinkSpec, single_load: bool = False) -> DataFrame:
     pk = spec.pk
-    d = stg.select(pk, *spec.parents, *spec.also_distinct_on, "load_date", "record_source").distinct()
+    null_load = F.when(F.col(pk).isNull(), F.col("load_date")).alias("_null_load")
+    d = (stg.groupBy(pk, *spec.parents, *spec.also_distinct_on, "record_source", null_load)
+         .agg(F.min("load_date").alias("load_date")))
     if not single_load:
-        # After the distinct a link pk has at most one row per load (parents are hashes of the
-        # pk's own parts), so a window per pk is bounded and reuses the distinct's output; an
-        # aggregate + join here would let Catalyst drop the distinct under min() and compute
-        # the whole source twice.
-        first = F.min("load_date").over(Window.partitionBy(pk))
-        d = d.withColumn("_first_load", first).where(F.col(pk).isNull() | (F.col("load_date") == F.col("_first_load")))
+        # a pk's relations are few (parents are hashes of the pk's own parts), so this window is
+        # bounded; a relation enters at its first load when that is also its pk's first load
+        first = F.min("load_date").over(Window.partitionBy(pk, "_null_load"))
+        d = d.withColumn("_first_load", first).where(F.col("load_date") == F.col("_first_load"))
     out = d.select(*link_columns(spec))
     if tgt is not None:
         out = out.join(tgt.select(pk), pk, "left_anti")

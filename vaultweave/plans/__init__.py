@@ -1,3 +1,3 @@
-from vaultweave.plans.specs import DWL, FP, VAULTS
+from vaultweave.plans.specs import DWL, FP
 
-__all__ = ["DWL", "FP", "VAULTS"]
+__all__ = ["DWL", "FP"]

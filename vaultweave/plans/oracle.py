@@ -2,7 +2,7 @@
 
 Tables ``orders lineitem part events`` are views over the same parquet files. Hubs and links use
 their closed form for in-order loads (each key's first load; NULL keys once per load).
-Satellites have no closed form: the SQL unrolls the loads, one level per year, and each level
+Satellites have no closed form: the SQL unrolls the loads, one level per load, and each level
 applies the rule in the reference's own shape (rank over the target rows of the batch's keys,
 ties kept), over the target accumulated so far.
 """
@@ -13,9 +13,9 @@ from vaultweave.functions.hashing import NULL_TOKEN, SEPARATOR, sentinel
 from vaultweave.plans.catalog import INCREMENTAL
 from vaultweave.plans.specs import DWL, FP, HubSpec, LinkSpec, SatSpec, StageSpec, VaultSpec
 
-# Years the satellite SQL unrolls (levels without data are empty). The Spark side has no such
-# bound; it loads every year found in the data.
-ORACLE_YEARS = range(1990, 2031)
+# Loads the satellite SQL unrolls. They are numbered from the dates in the data; the SQL raises an error
+# when the data holds more, so no load is ever left out.
+ORACLE_LOADS = 16
 
 ENTITY_SQL = {
     "payment": """
@@ -142,23 +142,26 @@ def link_sql(spec: StageSpec, lk: LinkSpec) -> str:
 def sat_sql(spec: StageSpec, s: SatSpec) -> str:
     cols = [s.pk, s.hashdiff, *s.payload, "effective_from", "load_date", "record_source"]
     qc = ", ".join(_q(c) for c in cols)
-    ctes = [f"cand as (select distinct {qc} from stage)"]
+    ctes = [f"cand as (select distinct {qc} from stage)",
+            "loads as materialized (select load_date as ld, row_number() over (order by load_date) as k "
+            "from (select distinct load_date from cand))"]
     prev = None
-    for y in ORACLE_YEARS:
-        ld = f"TIMESTAMP '{y}-01-01 00:00:00'"
-        batch = f"b{y} as (select {qc} from cand where load_date = {ld})"
+    for k in range(1, ORACLE_LOADS + 1):
+        ld = f"(select ld from loads where k = {k})"
+        batch = f"b{k} as materialized (select {qc} from cand where load_date = {ld})"
         if prev is None:
-            ctes += [batch, f"t{y} as materialized (select {qc} from b{y})"]
+            ctes += [batch, f"t{k} as materialized (select {qc} from b{k})"]
         else:
-            latest = (f"l{y} as (select {s.pk}, {s.hashdiff} from (select {s.pk}, {s.hashdiff}, "
+            latest = (f"l{k} as (select {s.pk}, {s.hashdiff} from (select {s.pk}, {s.hashdiff}, "
                       f"rank() over (partition by {s.pk} order by load_date desc) as r from {prev} "
-                      f"where load_date <= {ld} and {s.pk} in (select {s.pk} from b{y})) where r = 1)")
-            ins = (f"t{y} as materialized (select {qc} from {prev} union all select {qc} from b{y} b "
-                   f"where not exists (select 1 from l{y} l where l.{s.pk} = b.{s.pk} "
+                      f"where load_date <= {ld} and {s.pk} in (select {s.pk} from b{k})) where r = 1)")
+            ins = (f"t{k} as materialized (select {qc} from {prev} union all select {qc} from b{k} b "
+                   f"where not exists (select 1 from l{k} l where l.{s.pk} = b.{s.pk} "
                    f"and l.{s.hashdiff} = b.{s.hashdiff}))")
             ctes += [batch, latest, ins]
-        prev = f"t{y}"
-    return _with(spec, ctes) + f"\nselect {qc} from {prev}"
+        prev = f"t{k}"
+    guard = f"(select case when count(*) > {ORACLE_LOADS} then error('more loads than the SQL unrolls') end from loads) is null"
+    return _with(spec, ctes) + f"\nselect {qc} from {prev} where {guard}"
 
 
 def _entity_cte(entity: str) -> str:

@@ -61,8 +61,15 @@ class VaultSpec:
     links: tuple[LinkSpec, ...]
     sats: tuple[SatSpec, ...] = field(default=())
 
-    def targets(self):
-        return (*self.hubs, *self.links, *self.sats)
+    def targets(self, hub_form: str = "both"):
+        """All targets. Two hubs exist in two forms: ``literal`` (deduped by another key, as the statements
+        do) and ``own_pk`` (deduped by their own pk); ``hub_form`` picks one, or ``both``."""
+        if hub_form not in ("literal", "own_pk", "both"):
+            raise ValueError(f"hub_form {hub_form!r}")
+        literal = {h.pk for h in self.hubs if h.dedup_by}
+        drop = {"literal": lambda h: h.pk in literal and not h.dedup_by, "own_pk": lambda h: bool(h.dedup_by),
+                "both": lambda h: False}[hub_form]
+        return (*(h for h in self.hubs if not drop(h)), *self.links, *self.sats)
 
     def target(self, name: str):
         for t in self.targets():
@@ -222,5 +229,3 @@ FP = VaultSpec(
                 ("timerequest", "device_id", "device_ip_addr", "bytes_sent", "bytes_received")),
     ) + _fp_sats,
 )
-
-VAULTS = {"dwl": DWL, "fp": FP}

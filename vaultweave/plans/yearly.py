@@ -18,6 +18,7 @@ re-read, not a recomputation of the hashes.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +40,24 @@ def target_columns(t) -> list[str]:
     return sat_columns(t)
 
 
-def _selected(vault: VaultSpec, only) -> list:
-    targets = list(vault.targets())
+#: targets written at the same time: each is its own chain of Spark jobs, and the tail of one leaves room for the next
+SIDE_BY_SIDE = 4
+
+
+def side_by_side(step, items) -> None:
+    """``step`` on every item, ``SIDE_BY_SIDE`` at a time; the first error is raised once all have ended."""
+    items = list(items)
+    if len(items) == 1:
+        step(items[0])
+        return
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        for done in [pool.submit(step, i) for i in items]:
+            done.result()
+
+
+def _selected(vault: VaultSpec, only, hub_form: str) -> list:
+    """The targets named in ``only``; without it all, with the hubs of ``hub_form``."""
+    targets = list(vault.targets("both" if only is not None else hub_form))
     if only is not None:
         wanted = set(only)
         targets = [t for t in targets if t.name in wanted]
@@ -104,8 +121,9 @@ def _prepare(staged: DataFrame, targets, source: str, path: str, partition_by: s
 
 def run_load(spark: SparkSession, vault: VaultSpec, staged: dict[str, DataFrame], store: TableStore,
              load_date: dt.datetime, targets) -> None:
-    """Apply one load (staged batches with a single run date) to every target."""
-    for t in targets:                                   # hubs, links, satellites: spec order
+    """Apply one load (staged batches with a single run date) to every target. Targets read only the
+    staged batch and their own table, so they are loaded side by side."""
+    def load(t) -> None:
         stg = staged[t.source]
         schema = stg.select(*target_columns(t)).schema
         tgt = store.read(t.name, schema)
@@ -117,6 +135,8 @@ def run_load(spark: SparkSession, vault: VaultSpec, staged: dict[str, DataFrame]
             rows = sat_rows(stg, tgt, t, load_date)
         store.append(rows, t.name)
 
+    side_by_side(load, targets)
+
 
 def stage_load(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], targets, work: str,
                year: int | None, load_date: dt.datetime) -> dict[str, DataFrame]:
@@ -138,13 +158,15 @@ def drop_year_views(spark: SparkSession, vault: VaultSpec, year: int) -> list[st
 
 
 def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
-             year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None) -> None:
+             year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None,
+             hub_form: str = "literal") -> None:
     """One scheduled yearly run: rows of ``year``, run date ``load_date`` (default 1 January).
 
     The staged batches are visible as session views while the run lasts (for SQL users and
-    inspection) and dropped at the end, also when a load fails."""
+    inspection) and dropped at the end, also when a load fails. Without ``only`` every target is loaded,
+    the two hubs with two forms in the one of ``hub_form``."""
     ld = load_date or dt.datetime(year, 1, 1)
-    targets = _selected(vault, only)
+    targets = _selected(vault, only, hub_form)
     work = work_dir or new_work_dir(spark, f"year{year}")
     staged = stage_load(spark, vault, sources, targets, work, year, ld)
     try:
@@ -165,11 +187,12 @@ def _last_load(store: TableStore, t, tgt: DataFrame | None):
 
 
 def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
-             years: list[int] | None = None, only=None, work_dir: str | None = None) -> list[int]:
+             years: list[int] | None = None, only=None, work_dir: str | None = None,
+             hub_form: str = "literal") -> list[int]:
     """Load ``years`` (all years in the data when None) in increasing order. Returns the years
     the satellites were folded over (empty when only hubs and links were selected, or the
-    satellites' sources hold no rows)."""
-    targets = _selected(vault, only)
+    satellites' sources hold no rows). ``hub_form`` as in ``run_year``."""
+    targets = _selected(vault, only, hub_form)
     work = work_dir or new_work_dir(spark, "backfill")
     staged: dict[str, DataFrame] = {}
     for name in sorted({t.source for t in targets}):
@@ -184,17 +207,15 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         years = sorted(set().union(*[store.years(f"{work}/stage_{n}") for n in sat_sources])) if sat_sources else []
     years = sorted(set(years))
 
-    sats = []
-    for t in targets:
-        stg = staged[t.source].drop(LOAD_YEAR)
-        schema = stg.select(*target_columns(t)).schema
-        tgt = store.read(t.name, schema)
-        if isinstance(t, HubSpec):
-            store.append(hub_rows(stg, tgt, t), t.name)
-        elif isinstance(t, LinkSpec):
-            store.append(link_rows(stg, tgt, t), t.name)
-        elif years:                                     # no year, no row for a satellite
-            sats.append((t, tgt, schema))
+    def schema_of(t):
+        return staged[t.source].select(*target_columns(t)).schema
+
+    def load_keys(t) -> None:
+        stg, tgt = staged[t.source].drop(LOAD_YEAR), store.read(t.name, schema_of(t))
+        store.append(hub_rows(stg, tgt, t) if isinstance(t, HubSpec) else link_rows(stg, tgt, t), t.name)
+
+    side_by_side(load_keys, [t for t in targets if not isinstance(t, SatSpec)])
+    sats = [(t, store.read(t.name, schema_of(t)), schema_of(t)) for t in targets if isinstance(t, SatSpec)] if years else []
 
     first_load = dt.datetime(years[0], 1, 1) if years else None
     folded = []
@@ -211,8 +232,8 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
             folded.append((t, tgt))
     if folded:
         inserted = fold_satellite_keys(spark, [(t, staged[t.source], tgt) for t, tgt in folded], years, f"{work}/sat_state")
-        for t, _ in folded:
-            store.append(_inserted_rows(staged[t.source].drop(LOAD_YEAR), t, inserted), t.name)
+        side_by_side(lambda t: store.append(_inserted_rows(staged[t.source].drop(LOAD_YEAR), t, inserted), t.name),
+                     [t for t, _ in folded])
     return years
 
 
@@ -220,15 +241,19 @@ STATE_SCHEMA = "sat string, pk string, hd string, ins_load timestamp_ntz"
 
 
 def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str) -> DataFrame:
-    """Fold the satellite rule over ``years`` for several satellites at once, on keys only.
+    """Fold the satellite rule over ``years`` for several satellites at once, on keys only. Returns the
+    inserted keys of all loads, (sat, pk, hd, load_date).
+
+    A pk that occurs in one load only, and not in the target, needs no fold: all its distinct keys are
+    inserted. The distinct keys are written once, split by that (``many``) and by load year, and
+    only the pks of several loads are folded.
 
-    The state is every satellite's latest (pk, hashdiff) set, one generic table
+    The fold's state is every satellite's latest (pk, hashdiff) set, one generic table
     ``(sat, pk, hd, ins_load)``. Per load: batch keys not in the state are inserted; every
     (sat, pk) that got an insert has its set replaced by the inserted keys. The state is written
     once per load, partitioned by ``is_new``, so the keys inserted at that load are its
-    ``is_new=true`` partition. Returns those keys of all loads, (sat, pk, hd, load_date).
-    One written table per load regardless of the number of satellites; each step reads the
-    batch keys of its own year (partition pruned) and the previous state.
+    ``is_new=true`` partition. One written table per load regardless of the number of satellites;
+    each step reads the batch keys of its own year (partition pruned) and the previous state.
     """
     init = None
     for t, _, tgt in sats:
@@ -239,35 +264,38 @@ def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str)
             init = part if init is None else init.unionByName(part)
     state = spark.createDataFrame([], STATE_SCHEMA) if init is None else materialize(init, f"{work}/init")
 
+    # NULL pks never take part in "latest". A NULL hash diff never matches, so it is always
+    # inserted, and it still makes its load its pk's latest: it enters the state as ''.
     keys = None
     for t, staged, _ in sats:
-        k = staged.select(F.lit(t.name).alias("sat"), F.col(t.pk).alias("pk"), F.col(t.hashdiff).alias("hd"),
-                          LOAD_YEAR)
+        k = (staged.where(F.col(t.pk).isNotNull() & F.col(LOAD_YEAR).isin(years))
+             .select(F.lit(t.name).alias("sat"), F.col(t.pk).alias("pk"), F.coalesce(F.col(t.hashdiff), F.lit("")).alias("hd"), LOAD_YEAR)
+             .distinct())
         keys = k if keys is None else keys.unionByName(k)
-
-    new_parts = []
-    for y in years:
-        # NULL pks never take part in "latest". A NULL hash diff never matches, so it is always
-        # inserted, and it still makes this load its pk's latest: it enters the state as ''.
-        batch = (keys.where(F.col(LOAD_YEAR) == y).where(F.col("pk").isNotNull())   # partition pruned
-                 .select("sat", "pk", F.coalesce("hd", F.lit("")).alias("hd"), F.col("hd").isNull().alias("_nohd"))
-                 .distinct())
-        ins = (batch.where(~F.col("_nohd")).select("sat", "pk", "hd")
-               .join(state.select("sat", "pk", "hd"), ["sat", "pk", "hd"], "left_anti")
-               .unionByName(batch.where(F.col("_nohd")).select("sat", "pk", "hd")))
+    seen = keys.select("sat", "pk", F.col(LOAD_YEAR).alias("y"))
+    if init is not None:                                          # a pk of the target is never a first load
+        seen = seen.unionByName(state.select("sat", "pk", F.lit(years[0] - 1).alias("y")))
+    several = seen.groupBy("sat", "pk").agg(F.min("y").alias("lo"), F.max("y").alias("hi")).select(
+        "sat", "pk", (F.col("lo") < F.col("hi")).alias("many"))
+    path = f"{work}/keys"
+    keys.join(several, ["sat", "pk"]).write.mode("overwrite").partitionBy("many", LOAD_YEAR).parquet(path)
+    keys = spark.read.schema("sat string, pk string, hd string, many boolean, load_year int").parquet(path)
+
+    year_start = F.make_timestamp_ntz(F.col(LOAD_YEAR), *[F.lit(x) for x in (1, 1, 0, 0, 0)])
+    out = keys.where(~F.col("many")).select("sat", "pk", "hd", year_start.alias("load_date"))
+    for y in TableStore(spark, work).years(f"{path}/many=true"):  # other years change no folded pk
+        batch = keys.where(F.col("many") & (F.col(LOAD_YEAR) == y)).select("sat", "pk", "hd")   # partition pruned
+        ins = (batch.where(F.col("hd") != "").join(state.select("sat", "pk", "hd"), ["sat", "pk", "hd"], "left_anti")
+               .unionByName(batch.where(F.col("hd") == "")))
         kept = state.select("sat", "pk", "hd", "ins_load").join(ins.select("sat", "pk").distinct(),
                                                                  ["sat", "pk"], "left_anti")
         nxt = (kept.withColumn("is_new", F.lit(False))
-               .unionByName(ins.withColumn("ins_load", F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz"))
+               .unionByName(ins.withColumn("ins_load", F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz"))
                                .withColumn("is_new", F.lit(True))))
-        path = f"{work}/{y}"
-        written = materialize(nxt, path, partition_by="is_new")
+        written = materialize(nxt, f"{work}/{y}", partition_by="is_new")
         state = written.drop("is_new")
-        new_parts.append(written.where(F.col("is_new"))           # partition pruned; may be empty
-                         .select("sat", "pk", "hd", F.col("ins_load").alias("load_date")))
-    out = new_parts[0]
-    for p in new_parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(written.where(F.col("is_new"))      # partition pruned; may be empty
+                              .select("sat", "pk", "hd", F.col("ins_load").alias("load_date")))
     return out
 
 

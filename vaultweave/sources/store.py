@@ -54,7 +54,8 @@ class TableStore:
         return df.drop(LOAD_YEAR)
 
     def append(self, rows: DataFrame, name: str) -> None:
-        (rows.withColumn(LOAD_YEAR, F.year("load_date"))
+        """One commit; rows are gathered by load year first, so a year gets few files (a large year is split)."""
+        (rows.withColumn(LOAD_YEAR, F.year("load_date")).hint("rebalance", LOAD_YEAR)
              .write.mode("append").partitionBy(LOAD_YEAR).parquet(self.path(name)))
 
     def overwrite_years(self, rows: DataFrame, name: str, col: str = "year") -> None:
