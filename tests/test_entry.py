@@ -1,8 +1,10 @@
 import duckdb
+import pytest
 from conftest import SF0001
 
 import __spark_entry__ as E
 from vaultweave.plans import catalog, oracle
+from vaultweave.plans.specs import DWL
 
 
 def test_entry_runs(spark):
@@ -29,3 +31,11 @@ def test_some_queries_against_duckdb_at_sf0001(spark):
         res = con.execute(f"select {', '.join(chr(34) + c + chr(34) for c in cols)} from ({sqls[name]})")
         want = sorted(tuple(str(v) for v in r) for r in res.fetchall())
         assert got == want, name
+
+
+def test_satellite_sql_refuses_more_loads_than_it_unrolls(monkeypatch):
+    monkeypatch.setattr(oracle, "ORACLE_LOADS", 3)
+    con = duckdb.connect()
+    con.execute(f"create view orders as select * from read_parquet('{SF0001}/orders.parquet')")
+    with pytest.raises(duckdb.Error, match="more loads"):
+        con.execute(oracle.target_sql(DWL, "sat_user_details")).fetchall()

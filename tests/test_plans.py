@@ -73,3 +73,17 @@ def test_satellite_history_scanned_once(spark, work):
     assert "ReusedExchange" in p
     scans_of_target = [ln for ln in p.splitlines() if ln.startswith("Location") and t.name in ln]
     assert len(scans_of_target) == 1, scans_of_target
+
+
+def test_hubs_and_links_do_not_sort_the_staged_rows(spark, work):
+    path = f"{work}/stg"
+    stage(ods_source(spark, SF0001, "billing"), FP.stages["billing"]).write.parquet(path)
+    staged = spark.read.parquet(path)
+    frames = [hub_rows(staged, None, FP.target(h)) for h in ("hub_tariff", "hub_service", "hub_service_literal")]
+    frames += [link_rows(staged, None, FP.target("link_user_service_billing_period"))]
+    for df in frames:
+        tree = plan(df, "simple").splitlines()
+        scan = max(i for i, ln in enumerate(tree) if "FileScan" in ln)
+        below = max(i for i, ln in enumerate(tree) if "Exchange" in ln and i < scan)
+        near_scan = "\n".join(tree[below:scan])
+        assert "HashAggregate" in near_scan and "Sort" not in near_scan, near_scan

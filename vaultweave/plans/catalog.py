@@ -7,6 +7,8 @@ Every query reads the driver tables (via the fixture mapping) in full and return
   <target>           full vault target after loading every year in the data, oldest first
   dwl_<target>       the same for the payment-only vault
   inc_<target>       the same target after one scheduled run per year, each against the table so far
+  inc_ods_<entity>   lake table after one scheduled run per year, and one for a year without rows
+  inc_dm_traffic     the mart after the same runs
 Vault queries write their target under ``spark.checkpoint.dir`` and return the written table.
 """
 
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from vaultweave.operators.mart import traffic_mart
 from vaultweave.operators.ods import ods_load
 from vaultweave.operators.staging import stage
+from vaultweave.plans.lake import run_lake_year
 from vaultweave.plans.specs import DWL, FP, VaultSpec
 from vaultweave.plans.yearly import backfill, run_year, target_columns
 from vaultweave.session import new_work_dir
@@ -74,6 +77,19 @@ def incremental_target(vault: VaultSpec, name: str) -> Query:
     return run
 
 
+def yearly_lake(entity: str, table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stg = stg_source(spark, sf_dir, entity)
+        store = TableStore(spark, f"{new_work_dir(spark, f'inc-{table}')}/lake")
+        loaded = ods_load(stg, entity)
+        years = sorted(r[0] for r in loaded.select("year").distinct().collect())
+        for y in [*years, max(years, default=2000) + 1]:                 # the last one is empty
+            run_lake_year(spark, {entity: stg}, store, y)
+        shape = traffic_mart(loaded) if table == "dm_traffic" else loaded
+        return spark.read.schema(shape.schema).parquet(store.path(table))
+    return run
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for e in ENTITIES:
@@ -88,4 +104,7 @@ def queries() -> dict[str, Query]:
         q[f"dwl_{t.name}"] = vault_target(DWL, t.name)
     for name in INCREMENTAL:
         q[f"inc_{name}"] = incremental_target(FP, name)
+    for e in ENTITIES:
+        q[f"inc_ods_{e}"] = yearly_lake(e, f"ods_{e}")
+    q["inc_dm_traffic"] = yearly_lake("traffic", "dm_traffic")
     return q

@@ -203,4 +203,7 @@ def oracle_sql() -> dict[str, str]:
         o[f"dwl_{t.name}"] = target_sql(DWL, t.name)
     for name in INCREMENTAL:
         o[f"inc_{name}"] = target_sql(FP, name)
+    for e in ENTITY_SQL:
+        o[f"inc_ods_{e}"] = ods_sql(e)
+    o["inc_dm_traffic"] = dm_traffic_sql()
     return o
