@@ -318,6 +318,25 @@ def test_pseudonyms(spark, docs, edge_docs, no_docs):
     assert pii.pseudonymise(no_docs).count() == 0
 
 
+def test_secrets_of_any_length(spark):
+    rng = np.random.default_rng(3)
+    alphabets = ["0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    values = ["".join(rng.choice(list(a), n)) for a in alphabets for n in (9, 200, 201, 300, 5000)]
+    df = spark.createDataFrame([(i, f"x token={v} y") for i, v in enumerate(values)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(df, count_col="n").collect()}
+    for i, v in enumerate(values):
+        new = re.fullmatch("x token=([0-9a-zA-Z]+) y", got[i].text)[1]
+        assert len(new) == len(v) and got[i].n == 1
+        for at in range(0, len(v) - 7, 8):
+            assert new[at:at + 8] != v[at:at + 8], (len(v), at)
+        if i < 5:  # hex, block by block
+            want = ""
+            for k, at in enumerate(range(0, len(v), pii.SECRET_BLOCK)):
+                part = [(int(c, 16), 16) for c in v[at:at + pii.SECRET_BLOCK]]
+                want += "".join(f"{x:x}" for x in brute_feistel(part, f"hex {k}" if k else "hex"))
+            assert new == want
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 

@@ -18,7 +18,8 @@ ssn       area not 000, 666 or 9xx, group not 00, serial not 0000  rank among th
 date      a day of the calendar (ISO, or day.month.year)           day within its 400-year cycle
 ipv4      four octets                                              each octet among those as long
 email     local part and a domain with a dot                       letters and digits before the ``@``
-secret    the value after password, token, key =                   letters and digits (hex stays hex)
+secret    the value after password, token, key =, of any length    letters and digits (hex stays hex),
+                                                                   in blocks of ``SECRET_BLOCK``
 akia      ``AKIA`` and 16 capitals or digits                       the 16
 ========  =======================================================  ==================================
 
@@ -35,10 +36,12 @@ from vaultweave.llm.common import table
 
 KEY = "set-your-own-key"
 ROUNDS = 8
+#: characters of a secret that are permuted together; a longer value is cut into blocks, each keyed by its place
+SECRET_BLOCK = 200
 
 # fixed values: formats, in the order in which they are tried at a place in the text
 PATTERNS = {
-    "secret": r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_-]{8,200}+)",
+    "secret": r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_-]{8,}+)",
     "akia": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
@@ -66,7 +69,7 @@ def _let(value: Column, then) -> Column:
     return F.transform(F.array(value), then).getItem(0)
 
 
-def feistel(parts: Column, kind: str, key: str) -> Column:
+def feistel(parts: Column, kind: str | Column, key: str) -> Column:
     """``parts`` (array of structs v, m) with each v permuted below its m."""
 
     def once(acc: Column, rnd: Column) -> Column:
@@ -93,7 +96,7 @@ def _chars(s: Column) -> Column:
     return F.filter(F.split(s, ""), lambda c: c != "")
 
 
-def _spelled(s: Column, alphabets: list[str], kind: str, key: str) -> Column:
+def _spelled(s: Column, alphabets: list[str], kind: str | Column, key: str) -> Column:
     """Each character of ``s`` that is in one of the alphabets, permuted within it; the others stay."""
     alphabet = lambda c: F.coalesce(*[F.when(F.lit(a).contains(c), F.lit(a)) for a in alphabets])
     live = F.filter(_chars(s), lambda c: alphabet(c).isNotNull())
@@ -189,8 +192,10 @@ def _email(s: Column, key: str) -> Column:
 def _secret(s: Column, key: str) -> Column:
     name = F.regexp_extract(s, r"(?i)^[a-z_-]+\s*[=:]\s*[\"']?", 0)
     value = F.substr(s, F.char_length(name) + 1, F.char_length(s))
-    new = F.when(value.rlike("^[0-9a-f]+$"), _spelled(value, [HEX], "hex", key)).otherwise(_spelled(value, [DIGITS, LOWER, UPPER], "secret", key))
-    return F.concat(name, new)
+    blocks = F.regexp_extract_all(value, F.lit(f"(?s).{{1,{SECRET_BLOCK}}}"), F.lit(0))
+    each = lambda alphabets, kind: F.array_join(F.transform(blocks, lambda b, i: _spelled(
+        b, alphabets, F.when(i == 0, F.lit(kind)).otherwise(F.concat_ws(" ", F.lit(kind), i)), key)), "")
+    return F.concat(name, F.when(value.rlike("^[0-9a-f]+$"), each([HEX], "hex")).otherwise(each([DIGITS, LOWER, UPPER], "secret")))
 
 
 def _akia(s: Column, key: str) -> Column:
