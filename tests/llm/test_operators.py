@@ -318,6 +318,34 @@ def test_pseudonyms(spark, docs, edge_docs, no_docs):
     assert pii.pseudonymise(no_docs).count() == 0
 
 
+def test_numbers_with_others_right_after(spark):
+    card, amex, phone = "4041 8949 7460 8795", "3782 822463 10005", "+44 20 7183 8750"
+    after = ["", " 12/26", " 123", " 2024", " 2024-01-05", "-123", "/123", " exp 12/26", ", 123-45-6789", " 1985-03-12", " 42.144.35.254", " (212) 555-1234", "."]
+    cases = [(v, x) for v in (card, card.replace(" ", "-"), card.replace(" ", ""), amex, phone, "+442071838750", "+44 2071838750", "+44.20.7183.8750") for x in after
+             if not (x in ("-123", "/123") and v[0] == "+")]
+    cases += [(card, " " + card), (card, " 2024 " + card)]
+    before = ["2024 ", "12 ", "123 ", "2024 2025 "]
+    rows = [v + x for v, x in cases] + [b + card for b in before]
+    # the longer layouts here have no Luhn sum of 0
+    df = spark.createDataFrame([(i, f"a {t}") for i, t in enumerate(rows)] + [(-i - 1, f"a {x.strip(' ,/')}") for i, x in enumerate(after)], "doc_id long, text string")
+    got = {r.doc_id: r.text[2:] for r in pii.pseudonymise(df).collect()}
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    new = "".join(map(str, brute_feistel([(int(c), 10) for c in digits(card)[:-1]], "card")))
+    odd = sum(d if i % 2 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(map(int, reversed(new))))
+    want = {digits(card): new + str(-odd % 10), digits(phone): "44" + "".join(map(str, brute_feistel([(int(c), 10) for c in digits(phone)[2:]], "intl")))}
+    for i, (v, x) in enumerate(cases):
+        head, tail = got[i][:len(v)], got[i][len(v):]
+        assert head != v and re.sub("[0-9]", "9", got[i]) == re.sub("[0-9]", "9", rows[i]), (v, x, got[i])
+        if v != amex:
+            assert digits(head) == want[digits(v)], (v, x, got[i])
+        if i < len(cases) - 2:  # what comes after is treated as it is alone
+            assert tail.strip(" ,/") == got[-after.index(x) - 1], (v, x, got[i])
+        else:
+            assert digits(tail).endswith(want[digits(card)])
+    for i, b in enumerate(before):
+        assert got[len(cases) + i].startswith(b) and digits(got[len(cases) + i][len(b):]) == want[digits(card)], b
+
+
 def test_secrets_of_any_length(spark):
     rng = np.random.default_rng(3)
     alphabets = ["0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]

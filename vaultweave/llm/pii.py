@@ -9,11 +9,12 @@ round and the other half. What is permuted, and what stays:
 ========  =======================================================  ==================================
 kind      valid when                                               permuted
 ========  =======================================================  ==================================
-card      13-19 digits, plain or in groups, with a Luhn sum of 0   all digits but the last, which is
-                                                                   set to the new check digit
+card      13-19 digits with a Luhn sum of 0: plain, 4-6-5, 4-4-4-4  all digits but the last, which is
+          or that or 4-4-4 and 1-3 digits; the longest that fits   set to the new check digit
 phone     North American number with country or area code          10 digits (2-9 stays 2-9 where the
           (``N`` positions 2-9)                                    plan asks for it)
-intl      ``+`` country code and 7 to 12 grouped digits            digits after the country code
+intl      ``+`` country code and 7 to 12 digits, in groups or one;  digits after the country code
+          without a separator up to 15 digits with the code
 ssn       area not 000, 666 or 9xx, group not 00, serial not 0000  rank among the valid numbers
 date      a day of the calendar (ISO, or day.month.year)           day within its 400-year cycle
 ipv4      four octets                                              each octet among those as long
@@ -39,6 +40,21 @@ ROUNDS = 8
 #: characters of a secret that are permuted together; a longer value is cut into blocks, each keyed by its place
 SECRET_BLOCK = 200
 
+#: a group of digits is not taken where another value starts with it
+_NO_DATE = (r"(?! (?:[0-9]{4}-(?:0[1-9]|1[0-2])-[0-3][0-9]|[0-3][0-9][./][01][0-9][./][0-9]{4}|[0-9]{1,2}/[0-9]{1,4}|[0-9]{3}-[0-9]{2}-[0-9]{4}"
+            r"|\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[ .-][0-9]{4}|[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4}"
+            r"|[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{13,19})(?![0-9]))")
+
+
+def _grouped(sep: str) -> str:
+    """Digit groups that may hold cards: 4-6-5, a run of fours with up to three digits after it, or four fours.
+    ``_card`` finds the cards in a run."""
+    four = f"{sep}(?![0-9]{{4}}(?:-[0-9]{{2}}-[0-9]{{2}}(?![0-9])|{' -'.replace(sep, '')}[0-9]{{4}}|[ -][0-9]{{6}}[ -][0-9]{{5}}(?![0-9])))[0-9]{{4}}(?![0-9])"
+    tail = f"{sep}[0-9]{{1,3}}(?![0-9]|[./-][0-9])"
+    return (f"[0-9]{{4}}{sep}[0-9]{{6}}{sep}[0-9]{{5}}(?![0-9])|[0-9]{{4}}(?:{four}){{2}}(?:(?:{four})++(?:{tail})?|{tail})"
+            f"|[0-9]{{4}}(?:{sep}[0-9]{{4}}){{3}}(?![0-9])")
+
+
 # fixed values: formats, in the order in which they are tried at a place in the text
 PATTERNS = {
     "secret": r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_-]{8,}+)",
@@ -50,9 +66,8 @@ PATTERNS = {
     "phone": r"(?<![0-9])(?:\+?1[ .-]?)?\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
              r"|(?<![0-9.-])(?:\+?1[ .-])?[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4}(?![0-9]|[.-][0-9])"
              r"|(?<![0-9])\+1 ?[2-9][0-9]{2} ?[2-9][0-9]{2} ?[0-9]{4}(?![0-9])",
-    "intl": r"(?<![0-9])\+[2-9][0-9]{0,2}(?:[ .-]\(?[0-9]{1,5}\)?){2,5}(?![0-9])",
-    "card": r"(?<![0-9.])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2,3} [0-9]{1,4}|[0-9]{4}(?:-[0-9]{4}){2,3}-[0-9]{1,4}"
-            r"|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9]|\.[0-9])",
+    "intl": r"(?<![0-9])\+[2-9](?:[0-9]{7,14}|[0-9]{0,2}[ .-]\(?[0-9]{7,12}\)?|[0-9]{0,2}[ .-]\(?[0-9]{1,12}\)?(?:" + _NO_DATE + r"[ .-]\(?[0-9]{1,12}\)?){1,4})(?![0-9])",
+    "card": r"(?<![0-9.])(?:[0-9]{13,19}(?![0-9]|\.[0-9])|" + "|".join(_grouped(sep) for sep in " -") + ")",
 }
 #: kinds that start at a letter or digit after another character, and those that start at a digit, ``+`` or ``(``;
 #: the leading look-arounds turn most places of a text away at once
@@ -121,12 +136,33 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(back, one), F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def _card(s: Column, key: str) -> Column:
+#: the layouts of a card, and how many groups they have, the longest first
+_LAYOUTS = "^(?:[0-9]{13,19}|" + "|".join(f"[0-9]{{4}}(?:{c}[0-9]{{4}}){{3}}(?:{c}[0-9]{{1,3}})?|[0-9]{{4}}(?:{c}[0-9]{{4}}){{2}}{c}[0-9]{{1,3}}|[0-9]{{4}}{c}[0-9]{{6}}{c}[0-9]{{5}}" for c in " -") + ")$"
+_GROUPS = (5, 4, 3, 1)
+
+
+def _one_card(s: Column, key: str) -> Column:
     digits = F.regexp_replace(s, "[^0-9]", "")
     head = F.substr(digits, F.lit(1), F.char_length(digits) - 1)
     sent = F.array_join(F.transform(feistel(F.transform(_chars(head), lambda c: _pair(c, 10)), "card", key), lambda x: x["v"].cast("string")), "")
     whole = _let(sent, lambda d: F.concat(d, ((F.lit(10) - _luhn(F.concat(d, F.lit("0"))) % 10) % 10).cast("string")))
-    return F.when((_luhn(digits) % 10 == 0) & F.char_length(digits).between(13, 19), _laid(s, whole, "[0-9]")).otherwise(s)
+    return _laid(s, whole, "[0-9]")
+
+
+def _card(s: Column, key: str) -> Column:
+    """At each group of ``s`` the longest layout with a Luhn sum of 0 is a card; groups of none stay."""
+    def parts(groups: Column, seps: Column) -> Column:
+        piece = lambda i, n: F.substr(F.array_join(F.flatten(F.zip_with(F.slice(seps, i, n), F.slice(groups, i, n), lambda a, g: F.array(a, g))), ""),
+                                      F.char_length(F.element_at(seps, i)) + 1)
+        valid = lambda x: x.rlike(_LAYOUTS) & (_luhn(F.regexp_replace(x, "[^0-9]", "")) % 10 == 0)
+        fits = lambda i: F.get(F.filter(F.array(*[F.lit(n) for n in _GROUPS]), lambda n: (i + n - 1 <= F.size(groups)) & valid(piece(i, n))), F.lit(0))
+        first = F.struct(F.array().cast("array<string>").alias("out"), F.lit(1).alias("next"))
+        step = lambda acc, i: F.when(i < acc["next"], acc).otherwise(_let(fits(i), lambda n: F.struct(
+            F.concat(acc["out"], F.array(F.element_at(seps, i), F.when(n.isNotNull(), _one_card(piece(i, n), key)).otherwise(F.element_at(groups, i)))).alias("out"),
+            (i + F.coalesce(n, F.lit(1))).alias("next"))))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), first, step, lambda acc: F.array_join(acc["out"], ""))
+
+    return _let(F.regexp_extract_all(s, F.lit("[0-9]+"), F.lit(0)), lambda g: _let(F.split(s, "[0-9]+"), lambda b: parts(g, b)))
 
 
 def _phone(s: Column, key: str) -> Column:
@@ -138,11 +174,24 @@ def _phone(s: Column, key: str) -> Column:
     return _laid(s, F.concat(lead, F.array_join(sent, "")), "[0-9]")
 
 
+#: country codes of one and two digits; all others have three
+_CODE = r"^\+(?:7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
+
 def _intl(s: Column, key: str) -> Column:
-    code = F.regexp_extract(s, r"^\+[0-9]+", 0)
-    rest = F.substr(s, F.char_length(code) + 1, F.char_length(s) - F.char_length(code))
-    n = F.char_length(F.regexp_replace(rest, "[^0-9]", ""))
-    return F.when(n.between(7, 12), F.concat(code, _spelled(rest, [DIGITS], "intl", key))).otherwise(s)
+    """The most groups after the country code that make a number; groups behind it stay."""
+    plain = s.rlike(r"^\+[0-9]+$")
+    code = F.when(plain, F.regexp_extract(s, _CODE, 0)).otherwise(F.regexp_extract(s, r"^\+[0-9]+", 0))
+
+    def spelled(c: Column) -> Column:
+        rest = F.substr(s, F.char_length(c) + 1)
+        most = F.when(plain, F.lit(16) - F.char_length(c)).otherwise(F.lit(12))  # E.164: 15 digits with the code
+        heads = lambda groups: F.transform(F.sequence(F.size(groups), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(groups, F.lit(1), n), ""))
+        fits = lambda h: F.char_length(F.regexp_replace(h, "[^0-9]", "")).between(F.lit(7), most)
+        head = F.get(F.filter(_let(F.regexp_extract_all(rest, F.lit(r"[ .-]?\(?[0-9]+\)?"), F.lit(0)), heads), fits), F.lit(0))
+        return _let(head, lambda h: F.when(h.isNotNull(), F.concat(c, _spelled(h, [DIGITS], "intl", key), F.substr(rest, F.char_length(h) + 1))).otherwise(s))
+
+    return _let(code, spelled)
 
 
 def _ssn(s: Column, key: str) -> Column:
