@@ -11,7 +11,7 @@ document.
   ``retained - need + 1`` of either side; only those are listed. Boilerplate values, which half of
   all documents may hold, are never among them unless they make up most of a document.
 * The union of two sketches is a sketch of the union: the share of its ``k`` least values that both
-  hold estimates the similarity. Pairs clearly below the threshold (six standard errors) go.
+  hold estimates the similarity. Pairs with fewer than ``need`` of ``k`` go.
 * The rest is verified on the full sets, computed from the texts of the pair.
 
 Not all pairs of a list are formed. First each list's pivot is compared with its members and the
@@ -20,8 +20,10 @@ different components is compared in blocks of about ``BLOCK`` documents: a task
 overlaps, estimates and exact sizes as products of 0/1 matrices, and returns only as many links as
 connect what is linked. Pairs inside a component cannot change the result and are left out.
 
-Exactness: for sets of up to ``0.85 k`` shingles ``need`` is a theorem, else a binomial tail: a pair
-at the threshold is missed with a probability below 3e-9. Sets are compared by 64-bit hashes.
+Exactness: for sets of up to ``k * percent / 100`` shingles ``need`` is a theorem, else a binomial tail
+(``shared_least``): both the shared values and the estimate pass whenever the pair shares ``need`` of the
+``k`` least values of its union, so both filters together miss a pair at the threshold with a probability of
+``MISS`` at most, at every ``percent``. Sets are compared by 64-bit hashes.
 
 Defined cases: null, empty and blank texts have no shingles and are linked with nothing; rows that
 share an id are one vertex; a row with a null id is linked with nothing and kept, its component null.
@@ -29,6 +31,8 @@ share an id are one vertex; a row with a null id is linked with nothing and kept
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -41,9 +45,8 @@ from vaultweave.llm.components import components
 SHINGLE = 5
 PERCENT = 85
 K = 48
-NEED_LARGE = 22
+MISS = 3e-9
 PIVOTS = 2
-ESTIMATE_SLACK = 0.30
 BLOCK = 512
 _U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -108,6 +111,14 @@ def _overlaps(batches):
                                          ["u", "v", "both", "either"])
 
 
+def shared_least(percent: int, k: int) -> int:
+    """The most of ``k`` values of the union's sketch that a pair at the threshold shares but with probability ``MISS``."""
+    p, tail, need = percent / 100, 0.0, 0
+    while need < k and (tail := tail + comb(k, need) * p ** need * (1 - p) ** (k - need)) <= MISS:
+        need += 1
+    return max(1, need)
+
+
 def _need(n: Column, percent: int, k: int, need_large: int) -> Column:
     """How many retained values a similar pair shares at least."""
     exact = F.ceil(n * F.lit(percent) / F.lit(100))
@@ -219,7 +230,7 @@ def _linker(percent: int, k: int, need_large: int):
         maybe = (over >= np.maximum(need[ia][:, None], need[ib][None, :])) & (comp[ia][:, None] != comp[ib][None, :])
         maybe &= np.minimum(size[ia][:, None], size[ib][None, :]) * 100 >= np.maximum(size[ia][:, None], size[ib][None, :]) * percent
         x, y = np.nonzero(maybe)
-        likely = [np.zeros(0, bool)] + [_estimates(pads[ia[x[s:s + 8192]]], pads[ib[y[s:s + 8192]]], k) >= percent / 100 - ESTIMATE_SLACK
+        likely = [np.zeros(0, bool)] + [_estimates(pads[ia[x[s:s + 8192]]], pads[ib[y[s:s + 8192]]], k) >= need_large / k
                                         for s in range(0, len(x), 8192)]
         keep = np.concatenate(likely)
         x, y = x[keep], y[keep]
@@ -243,8 +254,9 @@ def _linker(percent: int, k: int, need_large: int):
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                 k: int = K, need_large: int = NEED_LARGE, pivots: int = PIVOTS) -> DataFrame:
+                 k: int = K, need_large: int | None = None, pivots: int = PIVOTS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
+    need_large = shared_least(percent, k) if need_large is None else need_large
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sk = saved(docs.mapInArrow(_sketches(k), "doc_id long, n long, s1 long, s2 long, sketch array<long>"), "near")
     named = sk.filter("doc_id IS NOT NULL AND n > 0")
@@ -273,7 +285,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  .select(F.least("rep", "p.rep").alias("u"), F.greatest("rep", "p.rep").alias("v")).distinct())
         su = sketches.select(F.col("rep").alias("u"), F.col("sketch").alias("su"))
         sv = sketches.select(F.col("rep").alias("v"), F.col("sketch").alias("sv"))
-        likely = pairs.join(su, "u").join(sv, "v").filter(_estimate("su", "sv", k) >= percent / 100 - ESTIMATE_SLACK).select("u", "v")
+        likely = pairs.join(su, "u").join(sv, "v").filter(_estimate("su", "sv", k) >= need_large / k).select("u", "v")
         tu = texts.select(F.col("rep").alias("u"), F.col("text").alias("tu"))
         tv = texts.select(F.col("rep").alias("v"), F.col("text").alias("tv"))
         new = saved(likely.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv")
