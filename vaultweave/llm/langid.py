@@ -10,11 +10,13 @@ languages back off to shorter ones.
 
 The prediction is the language with the lowest cross-entropy per character. A text is rejected when it
 has no letter, or when its cross-entropy lies above the limit calibrated for that language: half-way from
-the mean over a sample of training rows to that of letters drawn at random, at least ``REJECT_SD`` standard
-deviations above the mean, with an allowance for short texts.
+the mean over all training rows to that of letters drawn at random, at least ``REJECT_SD`` standard
+deviations above the mean, with an allowance for short texts. Mean and deviation of a language are those of
+its rows that are predicted as it, or of all its rows where none is, with ``PRIOR_ROWS`` rows like those of
+all languages together added, so a language with one row has a limit too.
 
 Bounds: per language the ``MAX_GRAMS`` most frequent trigrams enter the model, which bounds what is
-sent to the driver and the executors; about ``CALIBRATION_ROWS`` rows calibrate. More than ``MAX_LANGS``
+sent to the driver and the executors. More than ``MAX_LANGS``
 languages raise ValueError. Texts above one slab are scored piece by piece.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0 and rejected; without
@@ -35,8 +37,8 @@ from vaultweave.llm.common import held_out, saved, table
 
 MAX_GRAMS = 200_000
 MAX_LANGS = 512
-CALIBRATION_ROWS = 4000
 REJECT_SD = 8.0
+PRIOR_ROWS = 8
 SPACE = 32
 UND = "und"
 _TABLES: dict[str, np.ndarray] = {}
@@ -246,7 +248,44 @@ def _scored(model: Model):
 _SCORED = "lang_pred string, score double, entropy double, rejected boolean"
 
 
-def fit(train: DataFrame, max_grams: int = MAX_GRAMS, calibration_rows: int = CALIBRATION_ROWS) -> Model:
+def _own_entropies(model: Model):
+    """Per row with a letter: its language, whether that is predicted, and the entropy under its model."""
+    def run(batches):
+        for batch in batches:
+            sums, chars = np.zeros((batch.num_rows, len(model.langs))), np.zeros(batch.num_rows, np.int64)
+            for rows, texts in _pieces(batch.column(1)):
+                s, c = model.totals(texts)
+                sums[rows] += s
+                chars[rows] += c
+            at = np.flatnonzero(chars)
+            own = np.searchsorted(np.array(model.langs, object), np.array(batch.column(0).to_pylist(), object)[at]) if len(at) else at
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(sums[at].argmax(1) == own if len(at) else np.zeros(0, bool)),
+                                              pa.array(-sums[at, own] / chars[at])], ["lang", "itself", "h"])
+    return run
+
+
+def _limits(train: DataFrame, model: Model) -> dict[str, float]:
+    """The rejection limit of every language, from the entropies of all training rows; a row per language is collected."""
+    stats = {}
+    rows = (train.select("lang", "text").mapInArrow(_own_entropies(model), "lang string, itself boolean, h double")
+            .groupBy("lang", "itself").agg(F.count("h").alias("n"), F.avg("h").alias("mean"), F.var_pop("h").alias("var")).collect())
+    for r in sorted(rows, key=lambda r: r.itself):
+        stats[r.lang] = r.n, r.mean, r.var
+    if not stats:
+        return {}
+    n, mean, var = np.array(list(stats.values())).T
+    centre = (n * mean).sum() / n.sum()
+    spread = (n * var).sum() / n.sum()
+    w = PRIOR_ROWS
+    junk = dict(zip(model.langs, model.junk_entropy(), strict=True))
+    out = {}
+    for lang, (n, mean, var) in stats.items():
+        m, sd = (n * mean + w * centre) / (n + w), np.sqrt((n * var + w * spread) / (n + w))
+        out[lang] = max(m + REJECT_SD * sd, (m + junk[lang]) / 2)
+    return out
+
+
+def fit(train: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
     """A calibrated model from ``train`` (columns ``doc_id``, ``lang``, ``text``)."""
     train = train.filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = saved(train.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
@@ -259,12 +298,7 @@ def fit(train: DataFrame, max_grams: int = MAX_GRAMS, calibration_rows: int = CA
         top = counts.filter(F.col("lang") == lang).orderBy(F.col("n").desc(), "gram").limit(max_grams).select("gram", "n").toArrow()
         got[lang] = top["gram"].to_numpy(), top["n"].to_numpy()
     model = Model(got)
-    n = train.count()
-    junk = model.junk_entropy()
-    sample = train.filter(F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(max(1, n // max(1, calibration_rows)))) == 0)
-    seen = (sample.select("lang", "text").mapInArrow(_scored(model), "row string, " + _SCORED)
-            .filter("row = lang_pred").groupBy("lang_pred").agg(F.avg("entropy"), F.coalesce(F.stddev_pop("entropy"), F.lit(0.0))).collect())
-    model.limits = {lang: max(mean + REJECT_SD * sd, (mean + junk[model.langs.index(lang)]) / 2) for lang, mean, sd in seen}
+    model.limits = _limits(train, model)
     return model
 
 
