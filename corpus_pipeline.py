@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vaultweave.llm import langid, mixing, near_dedup, packing, pii
 from vaultweave.llm.common import saved, table
 
+NEAR_PERCENT = 80
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the language models, fitted on this stage's input, do not reject."""
@@ -18,8 +19,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates."""
-    return near_dedup.drop_near(docs)
+    """The document with the least id of each group of near-duplicates, linked from a similarity of 0.8 on."""
+    return near_dedup.drop_near(docs, percent=NEAR_PERCENT)
 
 
 def without_private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,28 @@ def test_stages_and_run(spark):
     assert key(P.run(spark, SF)) == key(packed)
 
 
+def test_near_copies_from_80_percent(spark):
+    rows, want = [], set()
+    for i in range(60):  # pairs with five-word Jaccard from 0.75 to 0.86: e edits apart of 5 shingles each
+        n, e = 150 + 7 * i, 0
+        words = [f"w{i}x{j}" for j in range(n)]
+        grams = lambda w: {tuple(w[j:j + 5]) for j in range(len(w) - 4)}
+        copy, near = list(words), 1.0
+        while near > 0.76 + 0.04 * (i % 3):
+            before, kept = near, list(copy)
+            copy[6 + 6 * e] = f"new{i}x{e}"
+            e += 1
+            a, b = grams(words), grams(copy)
+            near = len(a & b) / len(a | b)
+        if i % 3:
+            copy, near = kept, before
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+        want |= {2 * i} | ({2 * i + 1} if near < 0.8 else set())
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert 15 < len(want) - 60 < 45
+    assert {r.doc_id for r in P.one_of_each_group(spark, docs, SF).collect()} == want
+
+
 def test_empty_and_odd_rows(spark, edge_docs, no_docs):
     for docs in (no_docs, edge_docs.select("doc_id", "text", "lang", "source", "n_chars")):
         for _, stage in P.STAGES:
