@@ -15,9 +15,8 @@ deviations above the mean, with an allowance for short texts. Mean and deviation
 its rows that are predicted as it, or of all its rows where none is, with ``PRIOR_ROWS`` rows like those of
 all languages together added, so a language with one row has a limit too.
 
-Bounds: per language the ``MAX_GRAMS`` most frequent trigrams enter the model, which bounds what is
-sent to the driver and the executors. More than ``MAX_LANGS``
-languages raise ValueError. Texts above one slab are scored piece by piece.
+Every trigram enters the model, which passes through the driver and is held whole by each Python worker, so
+its size grows with the distinct trigrams of the training rows. More than ``MAX_LANGS`` languages raise ValueError. Texts above one slab are scored piece by piece.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0 and rejected; without
 training rows every text is ``und``; a null id is in the evaluation fold; repeated rows are scored alike.
@@ -35,7 +34,6 @@ from pyspark.sql import functions as F
 from vaultweave.llm import textbytes as tb
 from vaultweave.llm.common import held_out, saved, table
 
-MAX_GRAMS = 200_000
 MAX_LANGS = 512
 REJECT_SD = 8.0
 PRIOR_ROWS = 8
@@ -285,7 +283,7 @@ def _limits(train: DataFrame, model: Model) -> dict[str, float]:
     return out
 
 
-def fit(train: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
+def fit(train: DataFrame) -> Model:
     """A calibrated model from ``train`` (columns ``doc_id``, ``lang``, ``text``)."""
     train = train.filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = saved(train.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
@@ -294,9 +292,9 @@ def fit(train: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
     if len(langs) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     got = {}
-    for lang in langs:  # max_grams rows at most
-        top = counts.filter(F.col("lang") == lang).orderBy(F.col("n").desc(), "gram").limit(max_grams).select("gram", "n").toArrow()
-        got[lang] = top["gram"].to_numpy(), top["n"].to_numpy()
+    for lang in langs:
+        every = counts.filter(F.col("lang") == lang).select("gram", "n").toArrow()
+        got[lang] = every["gram"].to_numpy(), every["n"].to_numpy()
     model = Model(got)
     model.limits = _limits(train, model)
     return model
