@@ -173,14 +173,50 @@ def test_language_id(spark, docs, edge_docs, no_docs):
     assert langid.keep_known(no_docs, model).count() == 0
 
 
-def test_kneser_ney_sums_to_one():
-    grams, o = langid.trigrams(["abra kadabra", "banana bread"])
-    keys, n = np.unique(grams, return_counts=True)
+def plain_kneser_ney(texts):
+    """P(c | a, b) by dictionaries: counts for the longest order, numbers of continuations below it."""
+    from collections import Counter, defaultdict
+
+    tri = Counter()
+    for t in texts:
+        grams, _ = langid.trigrams([t])
+        tri.update((g >> 42, (g >> 21) & langid._LOW, g & langid._LOW) for g in grams.tolist())
+    orders = [tri]
+    for _ in range(2):
+        orders.append(Counter(g[1:] for g in orders[-1]))       # each longer gram continues once
+    orders = [{g: n for g, n in o.items()} for o in reversed(orders)]
+    floor = 1 / (len(orders[0]) + 1)
+
+    def p(gram, k=3):
+        if k == 0:
+            return floor
+        o = orders[k - 1]
+        one, two = (sum(n == x for n in o.values()) for x in (1, 2))
+        d = one / (one + 2 * two) if one and two else 0.5
+        ctx = defaultdict(list)
+        for g, n in o.items():
+            ctx[g[:-1]].append(n)
+        seen = ctx.get(gram[-k:][:-1])
+        below = p(gram, k - 1)
+        if not seen:
+            return below
+        return max(o.get(gram[-k:], 0) - d, 0) / sum(seen) + d * len(seen) / sum(seen) * below
+
+    return p, [g[0] for g in orders[0]]
+
+
+def test_kneser_ney_equals_dictionaries_and_sums_to_one():
+    texts = ["abra kadabra", "banana bread", "a bad cab"]
+    keys, n = np.unique(langid.trigrams(texts)[0], return_counts=True)
     m = langid.Model({"x": (keys, n)})
-    letters = [*m.letters, langid.SPACE]
-    for a, b in (("b", "r"), ("a", "n"), ("z", "z")):
-        p = np.exp(m.log_probabilities(np.array([ord(a) << 42 | ord(b) << 21 | c for c in letters]))).sum()
-        assert p + m.floor * 0 <= 1 + 1e-6 and p > 0.7
+    p, letters = plain_kneser_ney(texts)
+    assert set(m.letters) | {langid.SPACE} == set(letters) | {langid.SPACE}
+    unseen = ord("z")
+    every = [*letters, unseen]                                  # the floor leaves one share for all unseen characters
+    for a in map(ord, "abnrz"):
+        for b in [*map(ord, "abdz"), langid.SPACE]:
+            got = np.exp(m.log_probabilities(np.array([a << 42 | b << 21 | c for c in every])))[:, 0]
+            assert np.allclose(got, [p((a, b, c)) for c in every], rtol=1e-5) and abs(got.sum() - 1) < 1e-5
 
 
 # op6, op10
@@ -264,7 +300,8 @@ def check_packing(df, out, length):
     assert all(n == length or n & (n - 1) == 0 for n in size.values())
     for i, docs_of in want.items():
         pieces = sorted(by[i], key=lambda r: (r.sequence_id, r.offset))
-        assert b"".join(sorted(docs_of)) == b"".join(sorted(docs_of)) and sum(r.length for r in pieces) * 4 == sum(map(len, docs_of))
+        assert sum(r.length for r in pieces) * 4 == sum(map(len, docs_of))
+        assert sorted(i for r in pieces for i in np.frombuffer(r.ids, "<u4")) == sorted(i for d in docs_of for i in np.frombuffer(d, "<u4"))
         if len(docs_of) == 1:
             assert b"".join(r.ids for r in sorted(pieces, key=lambda r: r.start)) == docs_of[0]
             assert all(r.doc_tokens * 4 == len(docs_of[0]) for r in pieces)

@@ -17,6 +17,16 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"{new_work_dir(df.sparkSession, label)}/t")
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as keep it apart from ``columns`` (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

@@ -316,7 +316,7 @@ def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     schema = docs.schema
 
     def run(batches):
-        at = names.index("text")
+        at = [n.lower() for n in names].index("text")
         score = _scored(model)
         for batch in batches:
             pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(at)], ["row", "text"])

@@ -13,7 +13,9 @@ them to the executors only when the file is below its broadcast limit, else it j
 splits the hot ones.
 
 Defined cases: null is a source of its own; a source without a target gets none of the budget; rows
-that share an id draw alike; null and empty texts count as documents; an empty table gives no rows.
+that share an id draw alike; null, empty and very long texts count as one document each;
+equal rows are documents of their own; an empty table gives no rows; input columns of any name keep their values (where one
+is named ``copy`` or ``shuffle_key``, the new one is called ``mix_copy`` or ``mix_shuffle_key``).
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultweave.llm.common import saved, table
+from vaultweave.llm.common import fresh, saved, table
 
 SEED = "mix-1"
 PIECE = 16.0
@@ -56,12 +58,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     copy, order = (f"mix_{c}" if c in taken else c for c in ("copy", "shuffle_key"))
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     names = docs.columns
+    src, pieces, cdf, rate, n = fresh(names, "__src", "__pieces", "__cdf", "__rate", "__n")
     uniform = lambda i: F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), ident, i.cast("string"))), 1, 13), 16, 10).cast("double") / float(1 << 52)
-    draw = lambda i: F.size(F.filter("__cdf", lambda c: c <= uniform(i)))
-    copies = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("__pieces")), draw), F.lit(0), lambda a, x: a + x)
-    r = table_of.select(F.col("src").alias("__src"), F.col("pieces").alias("__pieces"), F.col("cdf").alias("__cdf"), F.col("rate").alias("__rate"))
-    drawn = (docs.join(r, docs[source_col].eqNullSafe(r["__src"])).filter("__rate > 0").withColumn("__n", copies)
-             .filter("__n > 0").select(*[docs[c] for c in names], F.explode(F.sequence(F.lit(1), F.col("__n"))).alias(copy)))
+    draw = lambda i: F.size(F.filter(cdf, lambda c: c <= uniform(i)))
+    copies = F.aggregate(F.transform(F.sequence(F.lit(1), F.col(pieces)), draw), F.lit(0), lambda a, x: a + x)
+    r = table_of.select(F.col("src").alias(src), F.col("pieces").alias(pieces), F.col("cdf").alias(cdf), F.col("rate").alias(rate))
+    drawn = (docs.join(r, docs[source_col].eqNullSafe(r[src])).filter(F.col(rate) > 0).withColumn(n, copies)
+             .filter(F.col(n) > 0).select(*[docs[c] for c in names], F.explode(F.sequence(F.lit(1), F.col(n))).alias(copy)))
     key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), ident, F.col(copy).cast("string"))), 1, 15), 16, 10).cast("long")
     return drawn.withColumn(order, key).repartition(order).sortWithinPartitions(order, id_col, copy)
 

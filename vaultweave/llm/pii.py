@@ -25,7 +25,9 @@ akia      ``AKIA`` and 16 capitals or digits                       the 16
 ========  =======================================================  ==================================
 
 Candidates that fail their check stay as they are. A one-digit half still gets a keyed shift.
-Defined cases: a null text stays null; other columns pass through untouched.
+Defined cases: a null text stays null, an empty one empty; very long texts are searched whole; rows are judged one by
+one, so equal rows change alike; an empty table gives no rows; other columns pass through untouched, whatever their
+names (where one is named like the count of replaced values, the new column has an underscore in front).
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultweave.llm.common import table
+from vaultweave.llm.common import fresh, table
 
 KEY = "set-your-own-key"
 ROUNDS = 8
@@ -266,17 +268,17 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, count_
     """``docs`` with the values in ``text_col`` replaced; ``count_col`` adds how many changed. Texts without a
     candidate pass through after one scan."""
     text = F.col(text_col)
-    found = docs.withColumn("__hits", F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(ANY), 0)))
-    has = F.coalesce(F.size("__hits") > 0, F.lit(False))
-    found = found.withColumn("__new", F.when(has, F.transform("__hits", lambda v: pseudonym(v, key))))
+    hits, new = fresh(docs.columns, "__hits", "__new")
+    found = docs.withColumn(hits, F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(ANY), 0)))
+    has = F.coalesce(F.size(hits) > 0, F.lit(False))
+    found = found.withColumn(new, F.when(has, F.transform(hits, lambda v: pseudonym(v, key))))
     between = F.split(text, ANY)
     # one more piece than there are hits
-    joined = F.array_join(F.flatten(F.zip_with(between, F.col("__new"), lambda b, v: F.array(b, F.coalesce(v, F.lit(""))))), "")
-    out = found.withColumn(text_col, F.when(has, joined).otherwise(text))
-    if count_col:
-        changed = F.size(F.filter(F.arrays_zip("__hits", "__new"), lambda x: x["__hits"] != x["__new"]))
-        out = out.withColumn(count_col, F.when(has, changed).otherwise(F.lit(0)).cast("long"))
-    return out.drop("__hits", "__new")
+    joined = F.array_join(F.flatten(F.zip_with(between, F.col(new), lambda b, v: F.array(b, F.coalesce(v, F.lit(""))))), "")
+    changed = F.size(F.filter(F.zip_with(hits, new, lambda a, b: a != b), lambda x: x))
+    names = {c.lower(): c for c in docs.columns}
+    count = [F.when(has, changed).otherwise(F.lit(0)).cast("long").alias(fresh(docs.columns, count_col)[0])] if count_col else []
+    return found.select(*[F.when(has, joined).otherwise(text).alias(c) if c == names[text_col.lower()] else F.col(f"`{c}`") for c in docs.columns], *count)
 
 
 def op9_format_preserving_pii(spark, sf_dir: str) -> DataFrame:
