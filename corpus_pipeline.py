@@ -48,7 +48,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: SQL cannot express the language models, the sketches or the tokenizer; tests hold run() against brute force
+#: SQL cannot express the language models, the sketches or the tokenizer; tests hold each stage against a plain version
 ORACLE_SQL = None
 
 
