@@ -13,8 +13,7 @@ Both aggregates combine map-side, keys spread over (pk, hashdiff), and the final
 (pk, hashdiff), so a pk holding a third of all rows does not land in one task.
 
 For a backfill of loads in increasing order after everything in the target, the same rule is
-kept incrementally on keys only (``plans.yearly.fold_satellite_keys``): the state is the latest
-set itself, and each load replaces the set of every pk it inserted for.
+folded over all loads at once, on keys only (``plans.satfold``).
 """
 
 from __future__ import annotations

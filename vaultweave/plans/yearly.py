@@ -7,7 +7,7 @@ and their own table, so the phase order is kept for readability, not because of
 
 ``backfill`` loads a list of years as if ``run_year`` ran once per year, oldest first, with
 fewer jobs: hubs and links load every year in one pass (their result is each key's first load),
-satellites fold year by year over a small "latest" state table. When the target already holds
+satellites fold all loads in one pass over the load pattern of each key (``plans.satfold``). When the target already holds
 a load at or after the first year, satellites fall back to ``run_year``'s rule per year.
 
 The staged batch is written once to the work folder (partitioned by load year) instead of being
@@ -27,6 +27,7 @@ from vaultweave.operators.hub import hub_columns, hub_rows
 from vaultweave.operators.link import link_columns, link_rows
 from vaultweave.operators.satellite import candidates, latest_hashdiffs, sat_columns, sat_rows
 from vaultweave.operators.staging import stage
+from vaultweave.plans import satfold
 from vaultweave.plans.specs import HubSpec, LinkSpec, SatSpec, VaultSpec
 from vaultweave.session import materialize, new_work_dir
 from vaultweave.sources.store import LOAD_YEAR, TableStore
@@ -104,8 +105,8 @@ def _needed_columns(targets, source: str) -> list[str]:
 
 
 def _prepare(staged: DataFrame, targets, source: str, path: str, partition_by: str | None = None) -> DataFrame:
-    """Keep the columns the targets read; write them once when several targets (or a satellite
-    fold, which reads one year at a time, or a literal hub) consume the batch, else leave the
+    """Keep the columns the targets read; write them once when several targets (or a satellite, which
+    reads its keys and then its rows, or a literal hub) consume the batch, else leave the
     plan lazy."""
     users = [t for t in targets if t.source == source]
     cols = _needed_columns(targets, source) + ([partition_by] if partition_by else [])
@@ -237,66 +238,26 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
     return years
 
 
-STATE_SCHEMA = "sat string, pk string, hd string, ins_load timestamp_ntz"
-
-
 def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str) -> DataFrame:
-    """Fold the satellite rule over ``years`` for several satellites at once, on keys only. Returns the
-    inserted keys of all loads, (sat, pk, hd, load_date).
-
-    A pk that occurs in one load only, and not in the target, needs no fold: all its distinct keys are
-    inserted. The distinct keys are written once, split by that (``many``) and by load year, and
-    only the pks of several loads are folded.
-
-    The fold's state is every satellite's latest (pk, hashdiff) set, one generic table
-    ``(sat, pk, hd, ins_load)``. Per load: batch keys not in the state are inserted; every
-    (sat, pk) that got an insert has its set replaced by the inserted keys. The state is written
-    once per load, partitioned by ``is_new``, so the keys inserted at that load are its
-    ``is_new=true`` partition. One written table per load regardless of the number of satellites;
-    each step reads the batch keys of its own year (partition pruned) and the previous state.
-    """
-    init = None
-    for t, _, tgt in sats:
+    """Fold the satellite rule over ``years`` for several satellites at once, on keys only and in one pass
+    (``plans.satfold``). Returns the inserted keys of all loads, (sat, pk, hd, load_date).
+
+    NULL pks never take part in "latest". A NULL hash diff never matches, so it is always inserted, and it
+    still makes its load its pk's latest: it enters as ''."""
+    latest = keys = None
+    number = F.element_at(F.create_map(*[F.lit(x) for i, y in enumerate(years) for x in (y, i)]), F.col(LOAD_YEAR))
+    for t, staged, tgt in sats:
         if tgt is not None:
-            part = latest_hashdiffs(tgt, t).select(F.lit(t.name).alias("sat"), F.col(t.pk).alias("pk"),
-                                                   F.col(t.hashdiff).alias("hd"),
-                                                   F.lit(None).cast("timestamp_ntz").alias("ins_load"))
-            init = part if init is None else init.unionByName(part)
-    state = spark.createDataFrame([], STATE_SCHEMA) if init is None else materialize(init, f"{work}/init")
-
-    # NULL pks never take part in "latest". A NULL hash diff never matches, so it is always
-    # inserted, and it still makes its load its pk's latest: it enters the state as ''.
-    keys = None
-    for t, staged, _ in sats:
+            part = latest_hashdiffs(tgt, t).select(F.lit(t.name).alias("sat"), F.col(t.pk).alias("pk"), F.col(t.hashdiff).alias("hd"))
+            latest = part if latest is None else latest.unionByName(part)
         k = (staged.where(F.col(t.pk).isNotNull() & F.col(LOAD_YEAR).isin(years))
-             .select(F.lit(t.name).alias("sat"), F.col(t.pk).alias("pk"), F.coalesce(F.col(t.hashdiff), F.lit("")).alias("hd"), LOAD_YEAR)
-             .distinct())
+             .select(F.lit(t.name).alias("sat"), F.col(t.pk).alias("pk"), F.coalesce(F.col(t.hashdiff), F.lit("")).alias("hd"), number.alias("load")))
         keys = k if keys is None else keys.unionByName(k)
-    seen = keys.select("sat", "pk", F.col(LOAD_YEAR).alias("y"))
-    if init is not None:                                          # a pk of the target is never a first load
-        seen = seen.unionByName(state.select("sat", "pk", F.lit(years[0] - 1).alias("y")))
-    several = seen.groupBy("sat", "pk").agg(F.min("y").alias("lo"), F.max("y").alias("hi")).select(
-        "sat", "pk", (F.col("lo") < F.col("hi")).alias("many"))
-    path = f"{work}/keys"
-    keys.join(several, ["sat", "pk"]).write.mode("overwrite").partitionBy("many", LOAD_YEAR).parquet(path)
-    keys = spark.read.schema("sat string, pk string, hd string, many boolean, load_year int").parquet(path)
-
-    year_start = F.make_timestamp_ntz(F.col(LOAD_YEAR), *[F.lit(x) for x in (1, 1, 0, 0, 0)])
-    out = keys.where(~F.col("many")).select("sat", "pk", "hd", year_start.alias("load_date"))
-    for y in TableStore(spark, work).years(f"{path}/many=true"):  # other years change no folded pk
-        batch = keys.where(F.col("many") & (F.col(LOAD_YEAR) == y)).select("sat", "pk", "hd")   # partition pruned
-        ins = (batch.where(F.col("hd") != "").join(state.select("sat", "pk", "hd"), ["sat", "pk", "hd"], "left_anti")
-               .unionByName(batch.where(F.col("hd") == "")))
-        kept = state.select("sat", "pk", "hd", "ins_load").join(ins.select("sat", "pk").distinct(),
-                                                                 ["sat", "pk"], "left_anti")
-        nxt = (kept.withColumn("is_new", F.lit(False))
-               .unionByName(ins.withColumn("ins_load", F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz"))
-                               .withColumn("is_new", F.lit(True))))
-        written = materialize(nxt, f"{work}/{y}", partition_by="is_new")
-        state = written.drop("is_new")
-        out = out.unionByName(written.where(F.col("is_new"))      # partition pruned; may be empty
-                              .select("sat", "pk", "hd", F.col("ins_load").alias("load_date")))
-    return out
+    if latest is not None:
+        latest = materialize(latest, f"{work}/init")
+    out = satfold.fold(keys, len(years), latest, work)
+    year = F.element_at(F.array(*[F.lit(y) for y in years]), F.col("load") + 1)
+    return out.select("sat", "pk", "hd", F.make_timestamp_ntz(year, *[F.lit(x) for x in (1, 1, 0, 0, 0)]).alias("load_date"))
 
 
 def _inserted_rows(staged: DataFrame, t: SatSpec, inserted: DataFrame) -> DataFrame:
