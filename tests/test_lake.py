@@ -78,3 +78,27 @@ def test_lake_backfill_equals_yearly_runs_and_empties_missing_years(spark, work)
         ra = sorted(map(str, spark.read.parquet(a.path(t)).collect()))
         rb = sorted(map(str, spark.read.parquet(b.path(t)).collect()))
         assert ra == rb and len(ra) > 0, t
+
+
+def test_mart_state_is_merged_and_one_month_reloaded(spark, work):
+    import calendar
+
+    from vaultweave.plans.lake import reload_slice
+
+    ms = lambda y, m, d: calendar.timegm((y, m, d, 12, 0, 0)) * 1000
+    schema = "user_id bigint, timestamp bigint, device_id string, device_ip_addr string, bytes_sent int, bytes_received int"
+    rows = [(u, ms(2023 + (m > 6), m, d), "d", "ip", 1, None if (u, d) == (3, 1) else u * 100 + m * d) for u in (1, 2, 3) for m in range(1, 13) for d in (1, 2, 28)]
+    rows += [(4, ms(2024, 12, 31), "d", "ip", 1, None)]
+    store = TableStore(spark, work)
+    stg = spark.createDataFrame(rows, schema)
+    for y, m in [(2023, m) for m in range(1, 7)] + [(2024, m) for m in range(7, 13)]:
+        reload_slice(spark, stg, store, y, m)
+    mart = lambda raw: sorted(map(str, traffic_mart(ods_load(spark.createDataFrame(raw, schema), "traffic")).collect()))
+    got = lambda: sorted(map(str, spark.read.parquet(store.path("dm_traffic")).select("user_id", "max_bytes_received", "min_bytes_received", "avg_traf", "year").collect()))
+    assert got() == mart(rows)
+    # one month is replaced: only its raw rows are handed in, the other months come from the state
+    december = [(1, ms(2024, 12, 5), "d", "ip", 1, 7), (5, ms(2024, 12, 6), "d", "ip", 1, 9)]
+    reload_slice(spark, spark.createDataFrame(december, schema), store, 2024, 12)
+    assert got() == mart([r for r in rows if r[1] < ms(2024, 12, 1) - 43_200_000] + december)
+    reload_slice(spark, stg.limit(0), store, 2024, 12)          # a month without rows any more
+    assert got() == mart([r for r in rows if r[1] < ms(2024, 12, 1) - 43_200_000])

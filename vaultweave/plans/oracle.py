@@ -10,7 +10,7 @@ ties kept), over the target accumulated so far.
 from __future__ import annotations
 
 from vaultweave.functions.hashing import NULL_TOKEN, SEPARATOR, sentinel
-from vaultweave.plans.catalog import INCREMENTAL
+from vaultweave.plans.catalog import DIRTY_TARGETS, INCREMENTAL, RERUN, RERUN_TARGETS, YEARS_TARGETS
 from vaultweave.plans.specs import DWL, FP, HubSpec, LinkSpec, SatSpec, StageSpec, VaultSpec
 
 # Loads the satellite SQL unrolls. They are numbered from the dates in the data; the SQL raises an error
@@ -106,11 +106,48 @@ def stage_sql(spec: StageSpec) -> str:
             f"where {_q(t)} is not null")
 
 
-def _with(spec: StageSpec, extra: list[str]) -> str:
-    ctes = [f"{spec.name} as ({ENTITY_SQL[spec.name]})", f"stage as ({stage_sql(spec)})", *extra]
+def _with(spec: StageSpec, extra: list[str], entity: str | None = None) -> str:
+    ctes = [f"{spec.name} as ({entity or ENTITY_SQL[spec.name]})", f"stage as ({stage_sql(spec)})", *extra]
     return "with " + ",\n".join(ctes)
 
 
+# Dirty payments and their keys, written out by hand: nothing here comes from the specs or the key recipe of the library.
+_BASE = {"user": ("'Cust-' || cast(o_custkey as varchar)", 11), "account": ("'Fl-' || cast(o_custkey % 750 as varchar)", 17),
+         "phone": ("'ext ' || cast(o_orderkey % 3 as varchar)", 19)}
+
+
+def _spoiled(what: str) -> str:
+    base, step = _BASE[what]
+    return (f"case o_orderkey % {step} when 0 then null when 1 then '' when 2 then '   ' when 3 then '  ' || {base} || ' ' "
+            f"when 4 then lower({base}) when 5 then upper({base}) when 6 then chr(9) || {base} else {base} end")
+
+
+DIRTY_STAGE_SQL = f"""
+    raw as (select {_spoiled('user')} as user_id,
+        case o_orderkey % 13 when 0 then null when 1 then ' ' else o_orderpriority end as pay_doc_type,
+        case when o_orderkey % 13 < 2 then null else o_orderkey % 50 end as pay_doc_num,
+        {_spoiled('account')} as account, {_spoiled('phone')} as phone,
+        case when o_orderkey % 23 = 0 then null else substr(cast(o_orderdate as varchar), 1, 7) end as billing_period,
+        o_orderdate as pay_date, cast(o_totalprice as decimal(10,2)) as payment_sum from orders),
+    text as (select *, nullif(upper(trim(user_id)), '') as u, nullif(upper(trim(account)), '') as a, nullif(upper(trim(phone)), '') as p,
+        nullif(upper(trim(pay_doc_type)), '') as dt, cast(pay_doc_num as varchar) as dn, nullif(trim(billing_period), '') as b from raw),
+    stage as (select pay_date, payment_sum, phone, user_id as user_key, account as account_key, billing_period as billing_period_key,
+        pay_doc_type as pay_doc_type_key, cast(pay_doc_num as varchar) as pay_doc_num_key, 'PAYMENT - GCS' as record_source,
+        md5(u) as user_pk, md5(a) as account_pk, md5(b) as billing_period_pk,
+        case when dt is not null or dn is not null then md5(coalesce(dt, '^^') || '||' || coalesce(dn, '^^')) end as pay_doc_pk,
+        case when u is not null or a is not null then md5(coalesce(u, '^^') || '||' || coalesce(a, '^^')) end as user_account_pk,
+        case when a is not null or dt is not null or dn is not null or b is not null then
+            md5(coalesce(a, '^^') || '||' || coalesce(dt, '^^') || '||' || coalesce(dn, '^^') || '||' || coalesce(b, '^^')) end as account_billing_pay_pk,
+        md5(coalesce(p, '^^')) as user_hashdiff, md5(cast(pay_date as varchar) || '||' || cast(payment_sum as varchar)) as pay_doc_hashdiff,
+        make_timestamp(year(pay_date), 1, 1, 0, 0, 0) as load_date, pay_date as effective_from from text where pay_date is not null)"""
+
+YEARS_TRAFFIC_SQL = """
+    select user_id, ts - to_days(cast((event_id // 4) % 4 * 366 as int)) as timerequest, regexp_extract(props, '([0-9]+)', 1) as device_id,
+           '10.0.0.' || cast(event_id % 4 as varchar) as device_ip_addr,
+           cast(floor(value * 10) as int) as bytes_sent, cast(floor(value * 100) as int) as bytes_received
+    from events"""
+
+
 def hub_sql(spec: StageSpec, h: HubSpec) -> str:
     keys = list(h.keys)
     out = ", ".join([h.pk, *keys, "load_date", "record_source"])
@@ -164,6 +201,44 @@ def sat_sql(spec: StageSpec, s: SatSpec) -> str:
     return _with(spec, ctes) + f"\nselect {qc} from {prev} where {guard}"
 
 
+def runs_sql(with_stage: str, t, loads: list[int] | None = None) -> str:
+    """Any target, run by run in the order of ``loads`` (years; every year in the data, ascending, without it), against the
+    rows of the earlier runs. A satellite looks at rows of loads up to its own date; hubs and links at all rows."""
+    sat = isinstance(t, SatSpec)
+    if sat:
+        cols = [t.pk, t.hashdiff, *t.payload, "effective_from", "load_date", "record_source"]
+    else:
+        cols = [t.pk, *(t.keys if isinstance(t, HubSpec) else t.parents), "load_date", "record_source"]
+    qc = ", ".join(_q(c) for c in cols)
+    if isinstance(t, HubSpec):
+        order = ", ".join(f"{c} nulls first" for c in [t.pk, *t.keys, "record_source"])
+        cand = (f"select {qc} from (select *, row_number() over (partition by load_date, {t.dedup_by or t.pk} order by {order}) as rn "
+                "from stage) where rn = 1")
+    elif sat:
+        cand = f"select distinct {qc} from stage"
+    else:
+        cand = f"select {qc} from (select distinct {', '.join([t.pk, *t.parents, *t.also_distinct_on, 'load_date', 'record_source'])} from stage)"
+    ctes, prev = [f"cand as materialized ({cand})"], None
+    if loads is None:
+        ctes.append("loads as materialized (select load_date as ld, row_number() over (order by load_date) as k from (select distinct load_date from cand))")
+    for k in range(1, (len(loads) if loads else ORACLE_LOADS) + 1):
+        ld = f"make_timestamp({loads[k - 1]}, 1, 1, 0, 0, 0)" if loads else f"(select ld from loads where k = {k})"
+        batch = f"select {qc} from cand b where load_date = {ld}"
+        if prev is None:
+            ctes.append(f"t{k} as materialized ({batch})")
+        elif sat:
+            ctes.append(f"l{k} as (select {t.pk}, {t.hashdiff} from (select {t.pk}, {t.hashdiff}, rank() over (partition by {t.pk} "
+                        f"order by load_date desc) as r from {prev} where load_date <= {ld}) where r = 1)")
+            ctes.append(f"t{k} as materialized (select {qc} from {prev} union all {batch} and not exists "
+                        f"(select 1 from l{k} l where l.{t.pk} = b.{t.pk} and l.{t.hashdiff} = b.{t.hashdiff}))")
+        else:
+            ctes.append(f"t{k} as materialized (select {qc} from {prev} union all {batch} and not exists "
+                        f"(select 1 from {prev} x where x.{t.pk} = b.{t.pk}))")
+        prev = f"t{k}"
+    guard = "" if loads else f" where (select case when count(*) > {ORACLE_LOADS} then error('more loads than the SQL unrolls') end from loads) is null"
+    return with_stage + ",\n" + ",\n".join(ctes) + f"\nselect {qc} from {prev}{guard}"
+
+
 def _entity_cte(entity: str) -> str:
     return f"{entity} as ({ENTITY_SQL[entity]})"
 
@@ -204,6 +279,15 @@ def oracle_sql() -> dict[str, str]:
     for name in INCREMENTAL:
         o[f"inc_{name}"] = target_sql(FP, name)
     for e in ENTITY_SQL:
-        o[f"inc_ods_{e}"] = ods_sql(e)
-    o["inc_dm_traffic"] = dm_traffic_sql()
+        o[f"inc_ods_{e}"] = o[f"catalog_ods_{e}"] = ods_sql(e)
+    o["inc_dm_traffic"] = o["catalog_dm_traffic"] = o["state_dm_traffic"] = dm_traffic_sql()
+    for s in FP.stages:
+        o[f"view_stage_{s}"] = o[f"stage_{s}"]
+    for name in RERUN_TARGETS:
+        t = FP.target(name)
+        o[f"rerun_{name}"] = runs_sql(_with(FP.stages[t.source], []), t, list(RERUN))
+    for name in DIRTY_TARGETS:
+        o[f"dirty_{name}"] = runs_sql(f"with {DIRTY_STAGE_SQL}", FP.target(name))
+    for name in YEARS_TARGETS:
+        o[f"years_{name}"] = runs_sql(_with(FP.stages["traffic"], [], YEARS_TRAFFIC_SQL), FP.target(name))
     return o

@@ -29,6 +29,7 @@ from vaultweave.operators.satellite import candidates, latest_hashdiffs, sat_col
 from vaultweave.operators.staging import stage
 from vaultweave.plans import satfold
 from vaultweave.plans.specs import HubSpec, LinkSpec, SatSpec, VaultSpec
+from vaultweave.plans.views import drop_year_views, publish, view_name
 from vaultweave.session import materialize, new_work_dir
 from vaultweave.sources.store import LOAD_YEAR, TableStore
 
@@ -133,12 +134,31 @@ def run_load(spark: SparkSession, vault: VaultSpec, staged: dict[str, DataFrame]
         elif isinstance(t, LinkSpec):
             rows = link_rows(stg, tgt, t, single_load=True)
         else:
-            rows = sat_rows(stg, tgt, t, load_date)
+            rows = sat_rows(stg, near_history(stg, tgt, t) if t.name in store.clustered else tgt, t, load_date)
         store.append(rows, t.name)
 
     side_by_side(load, targets)
 
 
+#: keys of a batch up to which a satellite's history is read by key
+NEAR_KEYS = 32
+
+
+def near_history(stg: DataFrame, tgt: DataFrame | None, t: SatSpec) -> DataFrame | None:
+    """The history that a batch of at most ``NEAR_KEYS`` keys can change, as a filter that reaches the files: their ranges and
+    Bloom filters (``CatalogStore``'s ``clustered``) then spare most row groups. For more keys the whole history is scanned
+    once; the rows a batch inserts are the same either way."""
+    if tgt is None:
+        return None
+    keys = [r[0] for r in stg.where(F.col(t.pk).isNotNull()).select(t.pk).distinct().limit(NEAR_KEYS + 1).collect()]
+    if len(keys) > NEAR_KEYS:
+        return tgt
+    wanted = F.lit(False)
+    for k in sorted(keys):
+        wanted = wanted | (F.col(t.pk) == F.lit(k))
+    return tgt.where(wanted)
+
+
 def stage_load(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], targets, work: str,
                year: int | None, load_date: dt.datetime) -> dict[str, DataFrame]:
     staged = {}
@@ -148,34 +168,34 @@ def stage_load(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFra
     return staged
 
 
-def view_name(vault: VaultSpec, source: str, year: int) -> str:
-    """Session view of a yearly staging batch, e.g. ``fp_view_billing_1997``."""
-    return f"{vault.name}_view_{source}_{year}"
-
-
-def drop_year_views(spark: SparkSession, vault: VaultSpec, year: int) -> list[str]:
-    """Drop the staging views of one year if they exist (the separate cleanup run)."""
-    return [v for v in (view_name(vault, s, year) for s in vault.stages) if spark.catalog.dropTempView(v)]
-
-
 def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
              year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None,
-             hub_form: str = "literal") -> None:
+             hub_form: str = "literal", view_database: str | None = None, keep_views: bool = False) -> None:
     """One scheduled yearly run: rows of ``year``, run date ``load_date`` (default 1 January).
 
     The staged batches are visible as session views while the run lasts (for SQL users and
-    inspection) and dropped at the end, also when a load fails. Without ``only`` every target is loaded,
-    the two hubs with two forms in the one of ``hub_form``."""
+    inspection) and dropped at the end, also when a load fails. With ``view_database`` they are permanent views there,
+    which the loads read; ``keep_views`` leaves those to the separate cleanup run (``views.drop_year_views``), and a
+    driver that dies leaves them too. Without ``only`` every target is loaded, the two hubs with two forms in the
+    one of ``hub_form``."""
     ld = load_date or dt.datetime(year, 1, 1)
     targets = _selected(vault, only, hub_form)
     work = work_dir or new_work_dir(spark, f"year{year}")
-    staged = stage_load(spark, vault, sources, targets, work, year, ld)
     try:
-        for name, df in staged.items():
-            df.createOrReplaceTempView(view_name(vault, name, year))
+        if view_database:
+            staged = {}
+            for name in sorted({t.source for t in targets}):
+                path = f"{work}/stage_{name}"
+                stage(sources[name], vault.stages[name], year, ld).write.mode("overwrite").parquet(path)
+                staged[name] = publish(spark, vault, name, year, path, view_database)
+        else:
+            staged = stage_load(spark, vault, sources, targets, work, year, ld)
+            for name, df in staged.items():
+                df.createOrReplaceTempView(view_name(vault, name, year))
         run_load(spark, vault, staged, store, ld, targets)
     finally:
-        drop_year_views(spark, vault, year)
+        if not (view_database and keep_views):
+            drop_year_views(spark, vault, year, view_database)
 
 
 def _last_load(store: TableStore, t, tgt: DataFrame | None):

@@ -75,6 +75,39 @@ def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments with NULL, blank, padded and differently cased keys, picked by order key; 50 pay documents, so that a
+    document recurs in every year with other dates and sums."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+
+    def spoiled(base, step: int):
+        kind = k % step
+        return (F.when(kind == 0, F.lit(None).cast("string")).when(kind == 1, "").when(kind == 2, "   ")
+                .when(kind == 3, F.concat(F.lit("  "), base, F.lit(" "))).when(kind == 4, F.lower(base)).when(kind == 5, F.upper(base))
+                .when(kind == 6, F.concat(F.lit("\t"), base)).otherwise(base))
+
+    return o.select(
+        spoiled(F.concat(F.lit("Cust-"), F.col("o_custkey").cast("string")), 11).alias("user_id"),
+        F.when(k % 13 == 0, F.lit(None).cast("string")).when(k % 13 == 1, " ").otherwise(F.col("o_orderpriority")).alias("pay_doc_type"),
+        F.when(k % 13 < 2, F.lit(None).cast("long")).otherwise(k % 50).alias("pay_doc_num"),
+        spoiled(F.concat(F.lit("Fl-"), (F.col("o_custkey") % 750).cast("string")), 17).alias("account"),
+        spoiled(F.concat(F.lit("ext "), (k % 3).cast("string")), 19).alias("phone"),
+        F.when(k % 23 == 0, F.lit(None).cast("string")).otherwise(F.substring(F.col("o_orderdate").cast("string"), 1, 7)).alias("billing_period"),
+        F.col("o_orderdate").alias("pay_date"),
+        F.col("o_totalprice").cast("decimal(10,2)").alias("sum"),
+    )
+
+
+def traffic_of_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic over four years: requests moved back by 0 to 3 times 366 days, by event."""
+    days = F.pmod(F.floor(F.col("event_id") / 4), F.lit(4)).cast("int") * 366
+    return table(spark, sf_dir, "events").select(
+        "user_id", (F.col("ts") - F.make_dt_interval(days)).alias("timerequest"), F.regexp_extract(F.col("props"), "([0-9]+)", 1).alias("device_id"),
+        F.concat(F.lit("10.0.0."), (F.col("event_id") % 4).cast("string")).alias("device_ip_addr"),
+        F.floor(F.col("value") * 10).cast("int").alias("bytes_sent"), F.floor(F.col("value") * 100).cast("int").alias("bytes_received"))
+
+
 ODS_SOURCES = {"payment": payment, "billing": billing, "issue": issue, "traffic": traffic}
 
 

@@ -18,6 +18,9 @@ LOAD_YEAR = "load_year"
 
 
 class TableStore:
+    #: tables whose files are ranges of a column (none here)
+    clustered: dict[str, str] = {}
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
