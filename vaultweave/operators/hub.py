@@ -32,21 +32,29 @@ def hub_columns(spec: HubSpec) -> list[str]:
     return [spec.pk, *spec.keys, "load_date", "record_source"]
 
 
-def hub_rows(stg: DataFrame, tgt: DataFrame | None, spec: HubSpec) -> DataFrame:
+def hub_group(spec: HubSpec) -> list[str]:
+    """Columns whose distinct rows a hub starts from."""
+    return list(dict.fromkeys([*([spec.dedup_by] if spec.dedup_by else []), spec.pk, *spec.keys, "record_source"]))
+
+
+def hub_rows(stg: DataFrame, tgt: DataFrame | None, spec: HubSpec, firsts: DataFrame | None = None) -> DataFrame:
+    """``firsts``: the distinct rows of ``hub_group`` with ``_null_load`` and ``load_date``, where they are at hand
+    (``plans.one_scan``); otherwise they are taken from ``stg``."""
     pk, keys = spec.pk, list(spec.keys)
     dedup = spec.dedup_by or pk
     if dedup == pk:
         # distinct (pk, keys, source) with their first load; then, per pk, the least (load_date, keys,
         # source) = first load and tie-break. NULL pks are grouped per load (one NULL row per load).
-        null_load = F.when(F.col(pk).isNull(), F.col("load_date")).alias("_null_load")
-        firsts = stg.groupBy(pk, *keys, "record_source", null_load).agg(F.min("load_date").alias("load_date"))
+        if firsts is None:
+            null_load = F.when(F.col(pk).isNull(), F.col("load_date")).alias("_null_load")
+            firsts = stg.groupBy(pk, *keys, "record_source", null_load).agg(F.min("load_date").alias("load_date"))
         picked = (firsts.groupBy(pk, "_null_load")
                   .agg(F.min(F.struct("load_date", *keys, "record_source")).alias(_PICK))
                   .select(pk, *[F.col(f"{_PICK}.{c}").alias(c) for c in ["load_date", *keys, "record_source"]]))
     else:
         # the load date is carried as an aggregate: Catalyst drops a plain distinct under min()
-        rows = (stg.groupBy(*dict.fromkeys([dedup, pk, *keys]), "record_source", F.col("load_date").alias("_load"))
-                .agg(F.max("load_date").alias("load_date")))
+        rows = firsts if firsts is not None else (
+            stg.groupBy(*hub_group(spec), F.col("load_date").alias("_load")).agg(F.max("load_date").alias("load_date")))
         per_load = (rows.groupBy("load_date", dedup)
                     .agg(F.min(F.struct(pk, *keys, "record_source")).alias(_PICK))
                     .select("load_date", *[F.col(f"{_PICK}.{c}").alias(c) for c in [pk, *keys, "record_source"]]))

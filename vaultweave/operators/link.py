@@ -21,11 +21,19 @@ def link_columns(spec: LinkSpec) -> list[str]:
     return [spec.pk, *spec.parents, "load_date", "record_source"]
 
 
-def link_rows(stg: DataFrame, tgt: DataFrame | None, spec: LinkSpec, single_load: bool = False) -> DataFrame:
+def link_group(spec: LinkSpec) -> list[str]:
+    """Columns whose distinct rows a link starts from."""
+    return [spec.pk, *spec.parents, *spec.also_distinct_on, "record_source"]
+
+
+def link_rows(stg: DataFrame, tgt: DataFrame | None, spec: LinkSpec, single_load: bool = False, firsts: DataFrame | None = None) -> DataFrame:
+    """``firsts``: the distinct rows of ``link_group`` with ``_null_load`` and ``load_date``, where they are at hand
+    (``plans.one_scan``); otherwise they are taken from ``stg``."""
     pk = spec.pk
-    null_load = F.when(F.col(pk).isNull(), F.col("load_date")).alias("_null_load")
-    d = (stg.groupBy(pk, *spec.parents, *spec.also_distinct_on, "record_source", null_load)
-         .agg(F.min("load_date").alias("load_date")))
+    d = firsts
+    if d is None:
+        null_load = F.when(F.col(pk).isNull(), F.col("load_date")).alias("_null_load")
+        d = stg.groupBy(*link_group(spec), null_load).agg(F.min("load_date").alias("load_date"))
     if not single_load:
         # a pk's relations are few (parents are hashes of the pk's own parts), so this window is
         # bounded; a relation enters at its first load when that is also its pk's first load

@@ -12,6 +12,7 @@ Every query reads the driver tables (via the fixture mapping) in full and return
   catalog_ods_<entity>, catalog_dm_traffic   the same runs into partitioned catalog tables
   state_dm_traffic   the mart merged from monthly states that are loaded one by one
   view_stage_<source>  staging read through one permanent view per year
+  one_scan_<source>  keys of all hubs and links of a source, from one reading of it
   rerun_<target>     runs of 1996, 1998, 1997 and 1997 again: out of order, and a rerun
   dirty_<target>     payments with NULL, blank, padded and differently cased keys, every year
   years_<target>     traffic targets over four years
@@ -108,6 +109,23 @@ DIRTY_TARGETS = ("hub_user", "hub_pay_doc", "hub_billing_period_literal", "link_
 YEARS_TARGETS = ("hub_device", "link_user_device", "sat_device_details")
 
 
+def one_scan_target(vault: VaultSpec, source: str) -> Query:
+    """All hubs and links of a source from one reading of its staged years: ``target, pk, load_date, record_source``."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        targets = [t for t in (*vault.hubs, *vault.links) if t.source == source]
+        work = new_work_dir(spark, f"one-{source}")
+        store = TableStore(spark, f"{work}/vault")
+        src = ods_source(spark, sf_dir, source)
+        backfill(spark, vault, {source: src}, store, only=[t.name for t in targets], work_dir=f"{work}/tmp", one_scan=True)
+        out = None
+        for t in targets:
+            schema = stage(src, vault.stages[source]).select(*target_columns(t)).schema
+            rows = store.read_public(t.name, schema).select(F.lit(t.name).alias("target"), F.col(t.pk).alias("pk"), "load_date", "record_source")
+            out = rows if out is None else out.unionByName(rows)
+        return out
+    return run
+
+
 def view_stage(vault: VaultSpec, source: str) -> Query:
     """Every year's batch written, published as a permanent view and read through it."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,6 +190,7 @@ def queries() -> dict[str, Query]:
     q["state_dm_traffic"] = state_dm_traffic
     for s in FP.stages:
         q[f"view_stage_{s}"] = view_stage(FP, s)
+        q[f"one_scan_{s}"] = one_scan_target(FP, s)
     for name in RERUN_TARGETS:
         q[f"rerun_{name}"] = incremental_target(FP, name, loads=RERUN)
     for name in DIRTY_TARGETS:

@@ -283,6 +283,8 @@ def oracle_sql() -> dict[str, str]:
     o["inc_dm_traffic"] = o["catalog_dm_traffic"] = o["state_dm_traffic"] = dm_traffic_sql()
     for s in FP.stages:
         o[f"view_stage_{s}"] = o[f"stage_{s}"]
+        o[f"one_scan_{s}"] = "\nunion all ".join(f"select '{t.name}' as target, {t.pk} as pk, load_date, record_source from ({o[t.name]}) as x_{t.name}"
+                                                 for t in (*FP.hubs, *FP.links) if t.source == s)
     for name in RERUN_TARGETS:
         t = FP.target(name)
         o[f"rerun_{name}"] = runs_sql(_with(FP.stages[t.source], []), t, list(RERUN))

@@ -28,6 +28,7 @@ from vaultweave.operators.link import link_columns, link_rows
 from vaultweave.operators.satellite import candidates, latest_hashdiffs, sat_columns, sat_rows
 from vaultweave.operators.staging import stage
 from vaultweave.plans import satfold
+from vaultweave.plans.one_scan import split_keys
 from vaultweave.plans.specs import HubSpec, LinkSpec, SatSpec, VaultSpec
 from vaultweave.plans.views import drop_year_views, publish, view_name
 from vaultweave.session import materialize, new_work_dir
@@ -121,18 +122,30 @@ def _prepare(staged: DataFrame, targets, source: str, path: str, partition_by: s
     return staged
 
 
+def _split(staged: dict[str, DataFrame], targets, one_scan: bool, work: str) -> dict[str, DataFrame]:
+    """With ``one_scan``, the distinct keys of all hubs and links, from one reading of each source's batch."""
+    out: dict[str, DataFrame] = {}
+    for source, stg in staged.items() if one_scan else ():
+        mine = [t for t in targets if t.source == source and not isinstance(t, SatSpec)]
+        if mine:
+            out |= split_keys(stg, mine, f"{work}/split_{source}")
+    return out
+
+
 def run_load(spark: SparkSession, vault: VaultSpec, staged: dict[str, DataFrame], store: TableStore,
-             load_date: dt.datetime, targets) -> None:
+             load_date: dt.datetime, targets, firsts: dict[str, DataFrame] | None = None) -> None:
     """Apply one load (staged batches with a single run date) to every target. Targets read only the
-    staged batch and their own table, so they are loaded side by side."""
+    staged batch (or their distinct keys in ``firsts``) and their own table, so they are loaded side by side."""
+    firsts = firsts or {}
+
     def load(t) -> None:
         stg = staged[t.source]
         schema = stg.select(*target_columns(t)).schema
         tgt = store.read(t.name, schema)
         if isinstance(t, HubSpec):
-            rows = hub_rows(stg, tgt, t)
+            rows = hub_rows(stg, tgt, t, firsts.get(t.name))
         elif isinstance(t, LinkSpec):
-            rows = link_rows(stg, tgt, t, single_load=True)
+            rows = link_rows(stg, tgt, t, single_load=True, firsts=firsts.get(t.name))
         else:
             rows = sat_rows(stg, near_history(stg, tgt, t) if t.name in store.clustered else tgt, t, load_date)
         store.append(rows, t.name)
@@ -170,14 +183,14 @@ def stage_load(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFra
 
 def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
              year: int, load_date: dt.datetime | None = None, only=None, work_dir: str | None = None,
-             hub_form: str = "literal", view_database: str | None = None, keep_views: bool = False) -> None:
+             hub_form: str = "literal", view_database: str | None = None, keep_views: bool = False, one_scan: bool = False) -> None:
     """One scheduled yearly run: rows of ``year``, run date ``load_date`` (default 1 January).
 
     The staged batches are visible as session views while the run lasts (for SQL users and
     inspection) and dropped at the end, also when a load fails. With ``view_database`` they are permanent views there,
     which the loads read; ``keep_views`` leaves those to the separate cleanup run (``views.drop_year_views``), and a
     driver that dies leaves them too. Without ``only`` every target is loaded, the two hubs with two forms in the
-    one of ``hub_form``."""
+    one of ``hub_form``. ``one_scan``: hubs and links take their distinct keys from one reading of the batch."""
     ld = load_date or dt.datetime(year, 1, 1)
     targets = _selected(vault, only, hub_form)
     work = work_dir or new_work_dir(spark, f"year{year}")
@@ -192,7 +205,7 @@ def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
             staged = stage_load(spark, vault, sources, targets, work, year, ld)
             for name, df in staged.items():
                 df.createOrReplaceTempView(view_name(vault, name, year))
-        run_load(spark, vault, staged, store, ld, targets)
+        run_load(spark, vault, staged, store, ld, targets, _split(staged, targets, one_scan, work))
     finally:
         if not (view_database and keep_views):
             drop_year_views(spark, vault, year, view_database)
@@ -209,10 +222,10 @@ def _last_load(store: TableStore, t, tgt: DataFrame | None):
 
 def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame], store: TableStore,
              years: list[int] | None = None, only=None, work_dir: str | None = None,
-             hub_form: str = "literal") -> list[int]:
+             hub_form: str = "literal", one_scan: bool = False) -> list[int]:
     """Load ``years`` (all years in the data when None) in increasing order. Returns the years
     the satellites were folded over (empty when only hubs and links were selected, or the
-    satellites' sources hold no rows). ``hub_form`` as in ``run_year``."""
+    satellites' sources hold no rows). ``hub_form`` and ``one_scan`` as in ``run_year``."""
     targets = _selected(vault, only, hub_form)
     work = work_dir or new_work_dir(spark, "backfill")
     staged: dict[str, DataFrame] = {}
@@ -233,8 +246,10 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
 
     def load_keys(t) -> None:
         stg, tgt = staged[t.source].drop(LOAD_YEAR), store.read(t.name, schema_of(t))
-        store.append(hub_rows(stg, tgt, t) if isinstance(t, HubSpec) else link_rows(stg, tgt, t), t.name)
+        make = hub_rows if isinstance(t, HubSpec) else link_rows
+        store.append(make(stg, tgt, t, firsts=firsts.get(t.name)), t.name)
 
+    firsts = _split({s: d.drop(LOAD_YEAR) for s, d in staged.items()}, targets, one_scan, work)
     side_by_side(load_keys, [t for t in targets if not isinstance(t, SatSpec)])
     sats = [(t, store.read(t.name, schema_of(t)), schema_of(t)) for t in targets if isinstance(t, SatSpec)] if years else []
 
