@@ -15,10 +15,13 @@ document.
 * The rest is verified on the full sets, computed from the texts of the pair.
 
 Not all pairs of a list are formed. First each list's pivot is compared with its members and the
-links are merged to components, ``PIVOTS`` times with other pivots. What still lies in one list but in
-different components is compared in blocks of about ``BLOCK`` documents: a task holds two blocks, takes
-overlaps, estimates and exact sizes as products of 0/1 matrices, and returns only as many links as
-connect what is linked. Pairs inside a component cannot change the result and are left out.
+links are merged to components, ``PIVOTS`` times with other pivots. Documents that still lie in one list but in
+different components get lists of their whole sets: a similar pair shares one of the ``n - ceil(n * percent / 100) + 1``
+first shingles of either side in any common order, and the order is rarest first, by a histogram of all their shingles
+in ``BUCKETS`` counters. So documents that only share a template, however many, have no list in common, as long as their own
+shingles fill that prefix. What lies in one such list and in different components is compared in blocks of about
+``BLOCK`` documents: a task holds two blocks, takes overlaps, estimates and exact sizes as products of 0/1 matrices, and
+returns only as many links as connect what is linked. Pairs inside a component cannot change the result and are left out.
 
 Exactness: for sets of up to ``k * percent / 100`` shingles ``need`` is a theorem, else a binomial tail
 (``shared_least``): both the shared values and the estimate pass whenever the pair shares ``need`` of the
@@ -48,6 +51,8 @@ K = 48
 MISS = 3e-9
 PIVOTS = 2
 BLOCK = 512
+#: counters of the histogram that orders shingles; collisions cost lists, never links
+BUCKETS = 1 << 17
 _U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], np.uint64)
@@ -145,6 +150,47 @@ def _with_component(lists: DataFrame, comp: DataFrame) -> DataFrame:
     return lists.join(comp, lists["rep"] == comp["node"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("comp"))
 
 
+def _bucket(values: np.ndarray) -> np.ndarray:
+    return (tb.mix(values.view(np.uint64) ^ _ODD[1]) % _U(BUCKETS)).astype(np.int64)
+
+
+def _sets_of(texts):
+    """Row ranges and shingle sets of a column of texts, slab by slab."""
+    data, offs = tb.utf8(texts)
+    for i, j in tb.slabs(offs):
+        yield i, shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+
+
+def _histogram(batches):
+    """How often the shingles of each bucket occur in a partition, each set counting once."""
+    total = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for _, sets in _sets_of(batch.column(2)):
+            if sets:
+                total += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
+
+
+def _prefixes(often: np.ndarray, percent: int):
+    """``value, rep, comp``: the rarest shingles of each set, one of which a similar set shares."""
+    def run(batches):
+        for batch in batches:
+            rep, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            for i, sets in _sets_of(batch.column(2)):
+                kept = [v[np.lexsort((v, often[_bucket(v)]))[:len(v) - -(-len(v) * percent // 100) + 1]] if len(v) else v for v in sets]
+                row = np.repeat(np.arange(i, i + len(sets)), [len(v) for v in kept])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*kept, np.zeros(0, np.int64)])), pa.array(rep[row]), pa.array(comp[row])],
+                                                 ["value", "rep", "comp"])
+    return run
+
+
+def _apart(lists: DataFrame) -> DataFrame:
+    """Rows (value, rep, comp) of lists that hold more than one component."""
+    several = lists.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("value")
+    return lists.join(several, "value", "left_semi").select("value", "rep", "comp")
+
+
 def _block_pairs(live: DataFrame) -> DataFrame:
     """``pair, side, rep, comp``: documents whose lists connect them form a group; a group is cut into blocks of
     about ``BLOCK`` documents, and each two blocks meet in one pair, but for blocks of one and the same component.
@@ -295,8 +341,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             links = links.unionByName(new)
             comp = components(links)
     now = _with_component(lists, comp)
-    live = saved(now.join(now.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("value"),
-                          "value", "left_semi").select("value", "rep", "comp"), "near")
+    apart = _apart(now).select("rep", "comp").distinct()
+    texts = saved(texts.join(apart, "rep").select("rep", "comp", "text"), "near")
+    counters = texts.mapInArrow(_histogram, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # BUCKETS rows at most
+    often = np.zeros(BUCKETS, np.int64)
+    often[[r.bucket for r in counters]] = [r.n for r in counters]
+    live = saved(_apart(texts.mapInArrow(_prefixes(often, percent), "value long, rep long, comp long")), "near")
+    texts = texts.select("rep", "text")
     new = saved(_block_pairs(live).join(texts, "rep").groupBy("pair").applyInArrow(_linker(percent, k, need_large), "u long, v long"), "near")
     if not new.isEmpty():
         comp = components(links.unionByName(new))
