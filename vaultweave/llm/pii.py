@@ -15,12 +15,15 @@ phone     North American number with country or area code          10 digits (2-
           (``N`` positions 2-9)                                    plan asks for it)
 intl      ``+`` country code and 7 to 12 digits, in groups or one;  digits after the country code
           without a separator up to 15 digits with the code
-ssn       area not 000, 666 or 9xx, group not 00, serial not 0000  rank among the valid numbers
-date      a day of the calendar (ISO, or day.month.year)           day within its 400-year cycle
+ssn       with - or spaces; area not 000, 666 or 9xx, group not    rank among the valid numbers
+          00, serial not 0000
+date      a day of the calendar (year first, day first with . or   day within its 400-year cycle
+          /, month first with / where no such day exists)
 ipv4      four octets                                              each octet among those as long
 email     local part and a domain with a dot                       letters and digits before the ``@``
-secret    the value after password, token, key =, of any length    letters and digits (hex stays hex),
-                                                                   in blocks of ``SECRET_BLOCK``
+secret    the value after password, token, api key = or            letters and digits (hex stays hex),
+          authorization: bearer, up to white space, a quote,       in blocks of ``SECRET_BLOCK``
+          comma or bracket, of any length
 akia      ``AKIA`` and 16 capitals or digits                       the 16
 ========  =======================================================  ==================================
 
@@ -37,7 +40,8 @@ from pyspark.sql import functions as F
 
 from vaultweave.llm.common import fresh, table
 
-KEY = "set-your-own-key"
+#: session setting of the key, and the key of tests and check runs, which protects nothing
+KEY_CONF, KEY = "spark.vaultweave.pii.key", "set-your-own-key"
 ROUNDS = 8
 #: characters of a secret that are permuted together; a longer value is cut into blocks, each keyed by its place
 SECRET_BLOCK = 200
@@ -59,14 +63,16 @@ def _grouped(sep: str) -> str:
 
 # fixed values: formats, in the order in which they are tried at a place in the text
 PATTERNS = {
-    "secret": r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_-]{8,}+)",
+    "secret": r"(?i:(?<![a-z])(?:(?:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}|authorization[\"']?\s{0,3}[=:]\s{0,3}[\"']?bearer\s{1,3})[\"']?"
+              r"[^\s\"'`,;&<>()\[\]{}]{8,}+)",
     "akia": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
+    "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])|(?<![0-9.-]|[0-9] )[0-9]{3} [0-9]{2} [0-9]{4}(?![0-9]|[ .-][0-9])",
     "ipv4": r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])",
     "phone": r"(?<![0-9])(?:\+?1[ .-]?)?\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
              r"|(?<![0-9.-])(?:\+?1[ .-])?[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4}(?![0-9]|[.-][0-9])"
+             r"|(?<![0-9.-]|[0-9] )[2-9][0-9]{2} [2-9][0-9]{2} [0-9]{4}(?![0-9]|[ .-][0-9])"
              r"|(?<![0-9])\+1 ?[2-9][0-9]{2} ?[2-9][0-9]{2} ?[0-9]{4}(?![0-9])",
     "intl": r"(?<![0-9])\+[2-9](?:[0-9]{7,14}|[0-9]{0,2}[ .-]\(?[0-9]{7,12}\)?|[0-9]{0,2}[ .-]\(?[0-9]{1,12}\)?(?:" + _NO_DATE + r"[ .-]\(?[0-9]{1,12}\)?){1,4})(?![0-9])",
     "card": r"(?<![0-9.])(?:[0-9]{13,19}(?![0-9]|\.[0-9])|" + "|".join(_grouped(sep) for sep in " -") + ")",
@@ -201,9 +207,10 @@ def _ssn(s: Column, key: str) -> Column:
     ok = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     parts = F.array(_pair(F.when(area > 666, area - 2).otherwise(area - 1), 898), _pair(group - 1, 99), _pair(serial - 1, 9999))
     v = lambda x, i: x.getItem(i)["v"]
-    new = _let(feistel(parts, "ssn", key), lambda x: F.concat_ws(
-        "-", F.lpad(F.when(v(x, 0) >= 665, v(x, 0) + 2).otherwise(v(x, 0) + 1).cast("string"), 3, "0"),
-        F.lpad((v(x, 1) + 1).cast("string"), 2, "0"), F.lpad((v(x, 2) + 1).cast("string"), 4, "0")))
+    sep = F.substr(s, F.lit(4), F.lit(1))
+    new = _let(feistel(parts, "ssn", key), lambda x: F.concat(
+        F.lpad(F.when(v(x, 0) >= 665, v(x, 0) + 2).otherwise(v(x, 0) + 1).cast("string"), 3, "0"),
+        sep, F.lpad((v(x, 1) + 1).cast("string"), 2, "0"), sep, F.lpad((v(x, 2) + 1).cast("string"), 4, "0")))
     return F.when(ok, new).otherwise(s)
 
 
@@ -212,16 +219,19 @@ _CYCLE, _ROWS, _START = 146097, 773, "1600-01-01"
 
 
 def _date(s: Column, key: str) -> Column:
-    iso = s.contains("-")
-    sep = F.when(s.contains("."), F.lit(".")).otherwise(F.lit("/"))
-    day = F.when(iso, F.try_to_date(s, "yyyy-MM-dd")).otherwise(F.try_to_date(F.translate(s, "./", "--"), "dd-MM-yyyy"))
+    iso = s.rlike("^[0-9]{4}")
+    sep = F.when(s.contains("."), F.lit(".")).when(s.contains("/"), F.lit("/")).otherwise(F.lit("-"))
+    plain = F.translate(s, "./", "--")
+    first = F.try_to_date(plain, "dd-MM-yyyy")
+    monthly = ~iso & first.isNull() & s.contains("/")           # no such day: the month stands first
+    day = F.when(iso, F.try_to_date(plain, "yyyy-MM-dd")).when(monthly, F.try_to_date(plain, "MM-dd-yyyy")).otherwise(first)
     ok = day.isNotNull() & (F.year(day).between(1600, 9599))  # the whole cycles of four-digit years
     n = F.datediff(day, F.lit(_START).cast("date"))
     at = n % _CYCLE
     sent = feistel(F.array(_pair(F.floor(at / _ROWS), _CYCLE // _ROWS), _pair(at % _ROWS, _ROWS)), "date", key)
     new = _let(sent, lambda x: F.date_add(F.lit(_START).cast("date"), (n - at + x.getItem(0)["v"] * _ROWS + x.getItem(1)["v"]).cast("int")))
-    text = lambda d: F.when(iso, F.date_format(d, "yyyy-MM-dd")).otherwise(
-        F.concat_ws("", F.date_format(d, "dd"), sep, F.date_format(d, "MM"), sep, F.date_format(d, "yyyy")))
+    part = lambda d, *fields: F.concat_ws("", *[x for f in fields for x in (sep, F.date_format(d, f))][1:])
+    text = lambda d: F.when(iso, part(d, "yyyy", "MM", "dd")).when(monthly & (F.dayofmonth(d) > 12), part(d, "MM", "dd", "yyyy")).otherwise(part(d, "dd", "MM", "yyyy"))
     return F.when(ok, _let(new, text)).otherwise(s)
 
 
@@ -241,12 +251,12 @@ def _email(s: Column, key: str) -> Column:
 
 
 def _secret(s: Column, key: str) -> Column:
-    name = F.regexp_extract(s, r"(?i)^[a-z_-]+\s*[=:]\s*[\"']?", 0)
+    name = F.regexp_extract(s, r"(?i)^[a-z_-]+[\"']?\s*[=:]\s*(?:[\"']?bearer\s+)?[\"']?", 0)
     value = F.substr(s, F.char_length(name) + 1, F.char_length(s))
     blocks = F.regexp_extract_all(value, F.lit(f"(?s).{{1,{SECRET_BLOCK}}}"), F.lit(0))
     each = lambda alphabets, kind: F.array_join(F.transform(blocks, lambda b, i: _spelled(
         b, alphabets, F.when(i == 0, F.lit(kind)).otherwise(F.concat_ws(" ", F.lit(kind), i)), key)), "")
-    return F.concat(name, F.when(value.rlike("^[0-9a-f]+$"), each([HEX], "hex")).otherwise(each([DIGITS, LOWER, UPPER], "secret")))
+    return F.concat(name, F.when(value.rlike("^[0-9a-f]+[^0-9A-Za-z]*$"), each([HEX], "hex")).otherwise(each([DIGITS, LOWER, UPPER], "secret")))
 
 
 def _akia(s: Column, key: str) -> Column:
@@ -264,9 +274,11 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
-    """``docs`` with the values in ``text_col`` replaced; ``count_col`` adds how many changed. Texts without a
+def pseudonymise(docs: DataFrame, text_col: str = "text", key: str | None = None, count_col: str | None = None) -> DataFrame:
+    """``docs`` with the values in ``text_col`` replaced; ``count_col`` adds how many changed. ``key``: the secret that the
+    permutations depend on; without it the session's ``KEY_CONF``, and without that the test key ``KEY``. Texts without a
     candidate pass through after one scan."""
+    key = key or docs.sparkSession.conf.get(KEY_CONF, KEY)
     text = F.col(text_col)
     hits, new = fresh(docs.columns, "__hits", "__new")
     found = docs.withColumn(hits, F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(ANY), 0)))
