@@ -341,16 +341,18 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             links = links.unionByName(new)
             comp = components(links)
     now = _with_component(lists, comp)
-    apart = _apart(now).select("rep", "comp").distinct()
-    texts = saved(texts.join(apart, "rep").select("rep", "comp", "text"), "near")
-    counters = texts.mapInArrow(_histogram, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # BUCKETS rows at most
-    often = np.zeros(BUCKETS, np.int64)
-    often[[r.bucket for r in counters]] = [r.n for r in counters]
-    live = saved(_apart(texts.mapInArrow(_prefixes(often, percent), "value long, rep long, comp long")), "near")
-    texts = texts.select("rep", "text")
-    new = saved(_block_pairs(live).join(texts, "rep").groupBy("pair").applyInArrow(_linker(percent, k, need_large), "u long, v long"), "near")
-    if not new.isEmpty():
-        comp = components(links.unionByName(new))
+    apart = saved(_apart(now).select("rep", "comp").distinct(), "near")
+    if not apart.isEmpty():
+        texts = saved(texts.join(apart, "rep").select("rep", "comp", "text"), "near")
+        counters = texts.mapInArrow(_histogram, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # BUCKETS rows at most
+        often = np.zeros(BUCKETS, np.int64)
+        often[[r.bucket for r in counters]] = [r.n for r in counters]
+        live = saved(_apart(texts.mapInArrow(_prefixes(often, percent), "value long, rep long, comp long")), "near")
+        if not live.isEmpty():
+            pairs = _block_pairs(live).join(texts.select("rep", "text"), "rep")
+            new = saved(pairs.groupBy("pair").applyInArrow(_linker(percent, k, need_large), "u long, v long"), "near")
+            if not new.isEmpty():
+                comp = components(links.unionByName(new))
     found = members.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(comp, F.col("rep") == comp["node"], "left") \
         .select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     out = sk.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")
