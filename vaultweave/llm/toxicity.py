@@ -6,13 +6,15 @@ sigmoid(w0 + sum w_i + sum over pairs <v_i, v_j>) over the features of a text: t
 ``FACTORS``-dimensional vectors, let two terms that are harmless alone count together, such as an insult and
 the mention of a group.
 
-The model is fitted by AdaGrad on at most ``TRAIN_ROWS`` labelled rows outside the evaluation fold, taken in
-the order of a hash of the id; nothing but text is an input of a score. Only features that tell the labels apart
-(``informative``) are learned; the others add nothing. Its size is bounded by ``BUCKETS`` and ``MAX_FEATURES``.
+The model is fitted on the driver on at most ``TRAIN_ROWS`` labelled rows outside the evaluation fold, taken in the
+order of a hash of the id; nothing but text is an input of a score. Every hashed feature of these rows is learned, rare
+or not: no feature is picked by its label. The penalties of ``fit`` hold back what few rows speak for, and a pair
+grows from small random vectors as soon as it tells the labels apart. The size is bounded by ``BUCKETS``.
 
 Defined cases: null, empty and termless texts get the score of the bias alone; without labelled rows, or
-with one label only, every score is that label's share (0 without rows); repeated rows score alike; labels
-that are null, and repeated labels of one id after the least, are not used.
+with one label only, every score is that label's share (0 without rows); repeated rows score alike, and of several
+rows of one id in training the one with the least features counts; labels that are null, and repeated labels of one id
+after the least, are not used; very long texts count whole, each feature once; other columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -29,10 +31,12 @@ BUCKETS = 1 << 20
 FACTORS = 4
 PREFIX = 4
 TRAIN_ROWS = 16_000
-MIN_DOCS = 5
-MIN_Z = 5.0
-MAX_FEATURES = 8192
-EPOCHS = 12
+EPOCHS = 10
+RATE = 0.5
+V_RATE = 0.05
+W_PENALTY = 2.0
+V_PENALTY = 0.03
+INIT = 0.01
 _U = np.uint64
 
 
@@ -72,17 +76,17 @@ def _texts(col):
 
 
 class FactorizationMachine:
-    """w0, w and v; features that are not learned share the last, zero, entry."""
+    """w0, w and v; features that no training row holds share the last, zero, entry."""
 
     def __init__(self, buckets: int, known: np.ndarray, factors: int, seed: int = 7):
         self.index = np.full(buckets, len(known), np.int32)
         self.index[known] = np.arange(len(known), dtype=np.int32)
         self.w0, self.w = 0.0, np.zeros(len(known) + 1, np.float32)
-        self.v = np.random.default_rng(seed).normal(0, 0.01, (len(known) + 1, factors)).astype(np.float32)
+        self.v = np.random.default_rng(seed).normal(0, INIT, (len(known) + 1, factors)).astype(np.float32)
         self.v[-1] = 0
 
     def raw(self, feats: np.ndarray, offs: np.ndarray):
-        """Scores before the sigmoid; learned features, their text and the summed vectors of each text."""
+        """Scores before the sigmoid; known features, their text and the summed vectors of each text."""
         at = self.index[feats]
         use = at < len(self.w) - 1
         n = len(offs) - 1
@@ -94,29 +98,39 @@ class FactorizationMachine:
         square = np.bincount(doc, (v * v).sum(1), n)
         return self.w0 + lin + 0.5 * ((total ** 2).sum(1) - square), at, doc, total
 
-    def fit(self, feats: list[np.ndarray], label: np.ndarray, epochs: int, rate: float = 0.1, decay: float = 1e-3, batch: int = 256, seed: int = 11):
+    def fit(self, feats: list[np.ndarray], label: np.ndarray, epochs: int = EPOCHS, batch: int = 128, seed: int = 11):
+        """AdaGrad with a rate that falls to 0. After each step w is shrunk by a constant (an L1 penalty of ``W_PENALTY``
+        on the summed loss) and v by a share (an L2 penalty of ``V_PENALTY`` on the mean loss); a feature's penalty is spread
+        over its steps."""
         rng = np.random.default_rng(seed)
+        n, steps = len(label), -(-len(label) // batch)
+        held = np.bincount(self.index[np.concatenate(feats)], minlength=len(self.w))
+        spread = (steps / np.clip(held, 1, steps)).astype(np.float32)
         g0, gw, gv = 1e-6, np.full(self.w.shape, 1e-6), np.full(self.v.shape, 1e-6)
         share = np.clip(label.mean(), 1e-3, 1 - 1e-3)
         self.w0 = float(np.log(share / (1 - share)))
-        for _ in range(epochs):
-            order = rng.permutation(len(label))
-            for s in range(0, len(order), batch):
+        for epoch in range(epochs):
+            rate = RATE * (1 - epoch / epochs)
+            order = rng.permutation(n)
+            for s in range(0, n, batch):
                 pick = order[s:s + batch]
                 x = [feats[i] for i in pick]
                 z, at, doc, total = self.raw(np.concatenate(x), np.concatenate([[0], np.cumsum([len(f) for f in x])]))
                 err = (sigmoid(z) - label[pick]) / len(pick)
                 cols, inv = np.unique(at, return_inverse=True)
                 e = err[doc]
-                dw = np.bincount(inv, e, len(cols)) + decay * self.w[cols] / len(pick)
+                dw = np.bincount(inv, e, len(cols))
                 own = self.v[at]
                 step = e[:, None] * (total[doc] - own)
-                dv = np.stack([np.bincount(inv, step[:, f], len(cols)) for f in range(own.shape[1])], 1) + decay * self.v[cols] / len(pick)
+                dv = np.stack([np.bincount(inv, step[:, f], len(cols)) for f in range(own.shape[1])], 1)
                 gw[cols] += dw ** 2
                 gv[cols] += dv ** 2
                 g0 += err.sum() ** 2
-                self.w[cols] -= (rate * dw / np.sqrt(gw[cols])).astype(np.float32)
-                self.v[cols] -= (rate * 0.3 * dv / np.sqrt(gv[cols])).astype(np.float32)
+                to = rate / np.sqrt(gw[cols])
+                w = self.w[cols] - to * dw
+                self.w[cols] = np.sign(w) * np.maximum(np.abs(w) - to * W_PENALTY / n * spread[cols], 0)
+                to = rate * V_RATE / np.sqrt(gv[cols])
+                self.v[cols] = (self.v[cols] - to * dv) / (1 + to * V_PENALTY * spread[cols][:, None])
                 self.w0 -= rate * 0.1 * err.sum() / np.sqrt(g0)
 
 
@@ -137,30 +151,20 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Fac
 
     got = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")  # at most train_rows
            .select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-           .mapInArrow(run, "doc_id long, toxic int, x binary").toArrow().sort_by([("doc_id", "ascending")]))
+           .mapInArrow(run, "doc_id long, toxic int, x binary")
+           .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("x").alias("x"))  # one row of each id
+           .toArrow().sort_by([("doc_id", "ascending")]))
     feats = [np.frombuffer(x.as_buffer(), np.int32) for chunk in got["x"].chunks for x in chunk]
     label = got["toxic"].to_numpy().astype(np.float64) if got.num_rows else np.zeros(0)
     if not len(label) or label.min() == label.max():
         model = FactorizationMachine(BUCKETS, np.zeros(0, np.int64), FACTORS)
         model.w0 = 60.0 if len(label) and label[0] else -60.0
         return model
-    model = FactorizationMachine(BUCKETS, informative(feats, label), FACTORS)
-    model.fit(feats, label, EPOCHS)
+    model = FactorizationMachine(BUCKETS, np.unique(np.concatenate(feats)), FACTORS)
+    model.fit(feats, label)
     return model
 
 
-def informative(feats: list[np.ndarray], label: np.ndarray) -> np.ndarray:
-    """Features whose share of toxic texts is ``MIN_Z`` standard errors from that of all texts; the
-    ``MAX_FEATURES`` clearest."""
-    held = np.bincount(np.concatenate(feats), minlength=BUCKETS)
-    toxic = np.bincount(np.concatenate([f for f, y in zip(feats, label, strict=True) if y > 0]), minlength=BUCKETS)
-    share = label.mean()
-    z = np.abs(toxic - share * held) / np.sqrt(np.maximum(share * (1 - share) * held, 1e-9))
-    z[held < MIN_DOCS] = 0
-    best = np.argsort(-z, kind="stable")[:MAX_FEATURES]
-    return np.sort(best[z[best] >= MIN_Z])
-
-
 def score(docs: DataFrame, model: FactorizationMachine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, predicted`` per row."""
 
