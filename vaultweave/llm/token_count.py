@@ -8,14 +8,19 @@ These open positions - trie node, last token before it, count relative to now -
 transition is annotated with the change of the emitted-token count. States and transitions are built
 when first met and kept (a lazily determinised automaton, bounded by ``MAX_STATES``).
 
-No token of the model crosses from a character into a following space, so the automaton is back in its
-start state at every word. A chunk of text therefore has a small state map: what it adds does not depend
-on the state it is entered in, except for its head, up to its first word start. Chunk maps are
-``(head, closed count, tail)``; their composition is associative, and the maps of a long text's chunks
-are combined pairwise, as in a prefix scan. Counts of whole words are remembered per process.
+No token of the model crosses from a character into a following space, so the automaton may be put back in its
+start state at every word start; counts of whole words are remembered per process. Texts of more bytes than
+``chunk_chars`` are cut into chunks of as many characters that Spark deals to the tasks, equal chunks of equal
+texts once. The map of a chunk takes an entry state to the exit state and the number of tokens in between. It
+is worked out at the entry state that the ``LOOK_BACK`` characters before the chunk foretell, then at every exit state
+of the chunk before it that it lacks, until none is missing: mostly at once, else after as many rounds as the chunks
+have states in turn, not as there are chunks. The maps of a text are then composed in order. A text without any
+space therefore also spreads over the tasks; what is held per text at a time is the maps of its chunks (a text of
+2 GB, Spark's limit, has 32,768 chunks).
 
 Characters outside the vocabulary count their UTF-8 bytes (byte fallback) and reset the state.
-Defined cases: null and empty texts have no tokens; an id that is null or repeated stays as it is.
+Defined cases: null and empty texts have no tokens; an id that is null or repeated stays as it is, a row each;
+very long texts count whole; an empty table gives no rows; other columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -28,15 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultweave.llm import textbytes as tb
-from vaultweave.llm.common import table
+from vaultweave.llm.common import saved, table
 
 LIMIT = 4096
 CHUNK_CHARS = 1 << 16
+LOOK_BACK = 256
 MAX_STATES = 250_000
 MAX_WORDS = 600_000
 SPACE = "▁"  # how the model writes a space
 
 
+#: open positions: trie node, last token before it, count relative to now
+State = tuple[tuple[int, int, int], ...]
+START: State = ((0, -1, 0),)
+
+
 class Transducer:
     """Counts the tokens of a string in which spaces are already written as ``SPACE``."""
 
@@ -63,8 +74,15 @@ class Transducer:
         self._reset_states()
 
     def _reset_states(self) -> None:
-        start = ((0, -1, 0),)
-        self.states, self.number, self.delta = [start], {start: 0}, [{}]
+        self.states, self.number, self.delta = [START], {START: 0}, [{}]
+
+    def _number_of(self, state: State) -> int:
+        where = self.number.get(state)
+        if where is None:
+            where = self.number[state] = len(self.states)
+            self.states.append(state)
+            self.delta.append({})
+        return where
 
     def _merge(self, text: str) -> list[str]:
         """Plain merging: the best-scored neighbours first, the leftmost of equals."""
@@ -105,28 +123,24 @@ class Transducer:
                 last, count = t, rel + 1
             if self.children[nxt]:
                 moved.append((nxt, before, rel))
-        new = tuple(sorted((n, b, r - count) for n, b, r in moved)) + ((0, last, 0),)
-        where = self.number.get(new)
-        if where is None:
-            where = self.number[new] = len(self.states)
-            self.states.append(new)
-            self.delta.append({})
-        return where, count
+        return self._number_of(tuple(sorted((n, b, r - count) for n, b, r in moved)) + ((0, last, 0),)), count
 
-    def count(self, text: str) -> int:
+    def run(self, text: str, entry: State = START) -> tuple[State, int]:
+        """The state after ``text`` and the tokens it adds, from state ``entry``."""
         if len(self.states) > MAX_STATES:
             self._reset_states()
-        state, total, delta = 0, 0, self.delta
+        state, total, delta = self._number_of(entry), 0, self.delta
         for ch in text:
             arc = delta[state].get(ch)
             if arc is None:
                 arc = delta[state][ch] = self._step(state, ch)
             state = arc[0]
             total += arc[1]
-        return total
+        return self.states[state], total
 
 
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_START = re.compile(f"(?<!{SPACE}){SPACE}")
 _LOADED: dict[str, Counter] = {}
 
 
@@ -149,34 +163,26 @@ class Counter:
         if n is None:
             if len(self.words) >= MAX_WORDS:
                 self.words.clear()
-            n = self.machine.count(text)
+            n = self.machine.run(text)[1]
             if len(text) <= 64:
                 self.words[text] = n
         return n
 
-    def chunk_map(self, chunk: str) -> tuple[str, int, str | None]:
-        """(head, closed, tail); tail None: the chunk has no word start, head is all of it."""
-        first = next((m.start() for m in re.finditer(f"(?<!{SPACE}){SPACE}", chunk) if m.start() > 0), None)
+    def through(self, chunk: str, entry: State) -> tuple[State, int]:
+        """The map of a chunk at one entry state: exit state and tokens."""
+        first = next((m.start() for m in _START.finditer(chunk, 1)), None)
         if first is None:
-            return chunk, 0, None
+            return self.machine.run(chunk, entry)
         segments = _SEGMENT.findall(chunk, first)
-        return chunk[:first], sum(map(self.segment, segments[:-1])), segments[-1]
-
-    def compose(self, a, b):
-        """The map of chunk a followed by chunk b."""
-        if a[2] is None:
-            head = a[0] + b[0]
-            if b[2] is None and not _starts(a[0], b[0]):
-                return head, 0, None
-            if _starts(a[0], b[0]):
-                return (a[0], 0, b[0]) if b[2] is None else (a[0], self.segment(b[0]) + b[1], b[2])
-            return head, b[1], b[2]
-        if _starts(a[2], b[0]):
-            closed = a[1] + self.segment(a[2])
-            return (a[0], closed, b[0]) if b[2] is None else (a[0], closed + self.segment(b[0]) + b[1], b[2])
-        if b[2] is None:
-            return a[0], a[1], a[2] + b[0]
-        return a[0], a[1] + self.segment(a[2] + b[0]) + b[1], b[2]
+        _, head = self.machine.run(chunk[:first], entry)
+        out, tail = self.machine.run(segments[-1])
+        return out, head + sum(map(self.segment, segments[:-1])) + tail
+
+    def foretold(self, before: str, chunk: str) -> State:
+        """The state in which a chunk is probably entered, by the text before it; surely if that holds a word start."""
+        if _starts(before, chunk):
+            return START
+        return self.machine.run(before[max((m.start() for m in _START.finditer(before)), default=0):])[0]
 
     def text(self, text: str, chunk_chars: int = CHUNK_CHARS) -> int:
         if not text:
@@ -187,17 +193,23 @@ class Counter:
                 n = words.get(SPACE + w)
                 total += self.segment(SPACE + w) if n is None else n
             return total
-        text = SPACE + text.replace(" ", SPACE)
-        maps = [self.chunk_map(text[i:i + chunk_chars]) for i in range(0, len(text), chunk_chars)]
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i:i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        head, closed, tail = maps[0]
-        return self.segment(head) + closed + (self.segment(tail) if tail else 0)
+        state, total = START, 0
+        for before, chunk in chunks(text, chunk_chars):
+            state, n = self.through(chunk, START if _starts(before, chunk) else state)
+            total += n
+        return total
+
+
+def chunks(text: str, chunk_chars: int, look_back: int = LOOK_BACK):
+    """(the characters before it, chunk) of a text with its spaces written as ``SPACE``."""
+    text = SPACE + text.replace(" ", SPACE)
+    for i in range(0, len(text), chunk_chars):
+        yield text[max(0, i - look_back):i], text[i:i + chunk_chars]
 
 
 def _starts(left: str, right: str) -> bool:
-    """Does a word start where ``right`` follows ``left``?"""
-    return right.startswith(SPACE) and not left.endswith(SPACE)
+    """Does a word start where ``right`` follows ``left``, as at the start of a text?"""
+    return not left or right.startswith(SPACE) and not left.endswith(SPACE)
 
 
 def counter(model_file: str) -> Counter:
@@ -207,7 +219,79 @@ def counter(model_file: str) -> Counter:
     return _LOADED[model_file]
 
 
-def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
+_CHUNK = "key string, seq long, before string, chunk string"
+
+
+def _cut(chunk_chars: int, look_back: int):
+    """Rows (key, text) to the chunks of each text, a few at a time."""
+    def run(batches):
+        for batch in batches:
+            for key, text in zip(batch.column(0), batch.column(1), strict=True):
+                rows = []
+                for seq, (before, chunk) in enumerate(chunks(text.as_py(), chunk_chars, look_back)):
+                    rows.append((key.as_py(), seq, before, chunk))
+                    if len(rows) == 16:
+                        yield _batch(rows)
+                        rows = []
+                if rows:
+                    yield _batch(rows)
+    return run
+
+
+def _batch(rows):
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)],
+                                      ["key", "seq", "before", "chunk"])
+
+
+def _written(state: State) -> str:
+    return " ".join(str(x) for place in state for x in place)
+
+
+def _read(state: str) -> State:
+    n = [int(x) for x in state.split()]
+    return tuple(zip(n[::3], n[1::3], n[2::3], strict=True))
+
+
+def _mapped(model_file: str):
+    """Chunks, with a true entry state where it is known, to their maps at the true or foretold entry state."""
+    def run(batches):
+        c = counter(model_file)
+        for batch in batches:
+            out = []
+            for before, chunk, entry in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                state = _read(entry) if entry else c.foretold(before, chunk)
+                left, n = c.through(chunk, state)
+                out.append((_starts(before, chunk), _written(state), _written(left), n))
+            word, entry, left, n = zip(*out, strict=True) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(word, pa.bool_()), pa.array(entry, pa.string()), pa.array(left, pa.string()),
+                                              pa.array(n, pa.int64())], ["key", "seq", "word", "entry", "exit", "n"])
+    return run
+
+
+def long_counts(long: DataFrame, model_file: str, chunk_chars: int, look_back: int = LOOK_BACK) -> DataFrame:
+    """``key, n_tokens`` of texts (``key``, ``text``; equal keys, equal texts) whose chunks are counted apart."""
+    pieces = long.mapInArrow(_cut(chunk_chars, look_back), _CHUNK).dropDuplicates(["key", "seq"])
+    out = "key string, seq long, word boolean, entry string, exit string, n long"
+    maps = saved(pieces.withColumn("entry", F.lit(None).cast("string")).mapInArrow(_mapped(model_file), out), "chunk_maps")
+    inside = maps.filter(~F.col("word")).select("key", "seq").distinct()
+    while True:
+        after = maps.select("key", (F.col("seq") + 1).alias("seq"), F.col("exit").alias("entry")).distinct().join(inside, ["key", "seq"], "left_semi")
+        need = after.join(maps.select("key", "seq", "entry"), ["key", "seq", "entry"], "left_anti")
+        if need.isEmpty():
+            break
+        more = pieces.join(need, ["key", "seq"]).select("key", "seq", "before", "chunk", "entry").mapInArrow(_mapped(model_file), out)
+        maps = saved(maps.unionByName(more), "chunk_maps")
+    begin = F.struct(F.lit(_written(START)).alias("state"), F.lit(-1).cast("long").alias("seq"), F.lit(0).cast("long").alias("n"))
+
+    def follow(at, m):
+        goes_on = (m["seq"] == at["seq"] + 1) & (m["word"] | (m["entry"] == at["state"]))
+        return F.when(goes_on, F.struct(m["exit"].alias("state"), m["seq"].alias("seq"), (at["n"] + m["n"]).alias("n"))).otherwise(at)
+
+    return (maps.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("seq", "word", "entry", "exit", "n"))).alias("maps"))  # a text's chunks
+            .select("key", F.aggregate("maps", begin, follow, lambda at: at["n"]).alias("n_tokens")))
+
+
+def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` per row. The model file must be readable on the executors."""
 
     def run(batches):
@@ -218,8 +302,13 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
             n = [count(raw[offs[i]:offs[i + 1]].decode("utf-8", "replace")) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offs), pa.int64()), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    short = rows.filter(size <= chunk_chars).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+    long = rows.filter(size > chunk_chars).withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
+    counts = long_counts(long.select("key", "text"), model_file, chunk_chars)
+    long = long.select("doc_id", size.cast("long").alias("n_bytes"), "key").join(counts, "key").select("doc_id", "n_bytes", "n_tokens")
+    return short.unionByName(long).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:
