@@ -23,6 +23,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultweave.functions.hashing import seal
 from vaultweave.functions.time import ts_literal
 from vaultweave.plans.specs import SatSpec
 
@@ -60,9 +61,11 @@ def latest_hashdiffs(tgt: DataFrame, spec: SatSpec, as_of: dt.datetime | str | N
             .select(pk, hd))
 
 
-def sat_rows(stg: DataFrame, tgt: DataFrame | None, spec: SatSpec, load_date: dt.datetime | str) -> DataFrame:
-    """Rows one batch (single ``load_date``) appends to the satellite."""
+def sat_rows(stg: DataFrame, tgt: DataFrame | None, spec: SatSpec, load_date: dt.datetime | str,
+             pks: DataFrame | None = None) -> DataFrame:
+    """Rows one batch (single ``load_date``) appends to the satellite. ``pks``: the batch's pks, where they are at hand."""
     cand = candidates(stg, spec)
     if tgt is None:
         return cand
-    return cand.join(latest_hashdiffs(tgt, spec, load_date, cand), [spec.pk, spec.hashdiff], "left_anti")
+    latest = latest_hashdiffs(tgt, spec, load_date, seal(stg) if pks is None else pks)
+    return seal(cand, [spec.pk, spec.hashdiff]).join(latest, [spec.pk, spec.hashdiff], "left_anti")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultweave.functions.hashing import late_columns, mark
 from vaultweave.operators.hub import hub_group
 from vaultweave.operators.link import link_group
 from vaultweave.plans.specs import HubSpec, LinkSpec
@@ -47,13 +48,15 @@ def distinct_keys(staged: DataFrame, targets: list[HubSpec | LinkSpec]) -> DataF
         FROM {{staged}} GROUP BY {', '.join(f'`{c}`' for c in every)} GROUPING SETS ({listed})""", staged=staged.select(*[c for c in every if c != "load_date"], "load_date"))
     target = F.element_at(F.create_map(*[F.lit(x) for k, i in names.items() for x in (k, targets[i].name)]), F.col("_set"))
     null_load = F.coalesce(*[F.when(target == t.name, F.col(f"_null_{i}")) for i, t in enumerate(targets)])
-    return grouped.select(target.alias("_target"), *cols, null_load.alias(NULL_LOAD), "load_date")
+    late = late_columns(staged)
+    kept = [mark(F.col(c), c) if c in late else c for c in cols]
+    return grouped.select(target.alias("_target"), *kept, null_load.alias(NULL_LOAD), "load_date")
 
 
 def split_keys(staged: DataFrame, targets: list[HubSpec | LinkSpec], work: str | None = None) -> dict[str, DataFrame]:
     """The distinct rows of each target, from one written table with a folder per target."""
     path = f"{work or new_work_dir(staged.sparkSession, 'keys')}/keys"
     rows = distinct_keys(staged, targets)
-    rows.write.mode("overwrite").partitionBy("_target").parquet(path)
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("_target").parquet(path)
     kept = staged.sparkSession.read.schema(rows.schema).parquet(path)
     return {t.name: kept.where(F.col("_target") == t.name).select(*_group(t), NULL_LOAD, "load_date") for t in targets}

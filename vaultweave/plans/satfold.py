@@ -29,6 +29,8 @@ MASK_BITS = 62
 PATTERNS = 1 << 13
 STRETCH = 11
 SALTS = 8
+#: of the files between two steps
+CODEC = "zstd"
 KEY = ["sat", "pk"]
 PATTERN = ["mask", "held", "never"]
 CARRIED = [*PATTERN, "salts"]
@@ -78,10 +80,10 @@ def _patterns(occurs: DataFrame) -> DataFrame:
 
 
 def _answers(occurs: DataFrame, folded: DataFrame) -> DataFrame:
-    """``sat, pk, hd, ins, ends``: each hash diff with the answer of its pattern."""
+    """``sat, pk, hd, mask, ins, ends``: each hash diff with the answer of its pattern."""
     has = F.array_compact(F.array(*[F.when(F.col("salts").bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(i)) for i in range(SALTS)]))
     spread = folded.select(*KEY, *PATTERN, "ins", "ends", F.explode(has).alias("salt"))
-    return occurs.select(*KEY, "hd", *PATTERN, _salt().alias("salt")).join(spread, [*KEY, *PATTERN, "salt"]).select(*KEY, "hd", "ins", "ends")
+    return occurs.select(*KEY, "hd", *PATTERN, _salt().alias("salt")).join(spread, [*KEY, *PATTERN, "salt"]).select(*KEY, "hd", "mask", "ins", "ends")
 
 
 def _one_stretch(occurs: DataFrame, loads: int) -> DataFrame:
@@ -95,23 +97,36 @@ def inserted(answers: DataFrame, loads: int, first: int = 0) -> DataFrame:
     return answers.where("ins != 0").select(*KEY, "hd", F.explode(F.array_compact(each)).alias("load"))
 
 
+def skipped(answers: DataFrame, loads: int) -> dict[str, DataFrame]:
+    """Per satellite that inserts more than it skips, the keys of loads that insert nothing for them: ``sat, pk, hd, load``."""
+    left = F.col("mask").bitwiseAND(F.bitwise_not("ins"))
+    few = answers.groupBy("sat").agg(F.sum(F.bit_count("ins")).alias("ins"), F.sum(F.bit_count(left)).alias("left")).where(F.col("left") < F.col("ins"))
+    keys = inserted(answers.withColumn("ins", left), loads)
+    return {r["sat"]: keys.where(F.col("sat") == r["sat"]) for r in few.collect()}
+
+
 def fold(keys: DataFrame, loads: int, latest: DataFrame | None, work: str) -> DataFrame:
     """Inserted keys ``sat, pk, hd, load`` of all loads (0 to ``loads`` - 1), written under ``work``. ``keys``: distinct or
     not, ``sat, pk, hd, load``."""
-    out = []
+    return fold_both(keys, loads, latest, work)[0]
+
+
+def fold_both(keys: DataFrame, loads: int, latest: DataFrame | None, work: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Inserted keys as ``fold``, and ``skipped`` where all loads were folded at once."""
+    out, answers = [], []
     for first in range(0, loads, MASK_BITS):                    # more loads than a mask holds: one after the other
         n = min(MASK_BITS, loads - first)
         part = keys if loads <= MASK_BITS else keys.where(F.col("load").between(first, first + n - 1))
         part = part.withColumn("load", F.col("load") - first)
-        occurs = materialize(occurrences(part, latest), f"{work}/{first}/occurs")
+        occurs = materialize(occurrences(part, latest), f"{work}/{first}/occurs", codec=CODEC)
         many = None
         if n > STRETCH + 1:
             distinct = occurs.select(*KEY, *PATTERN).distinct()
-            many = materialize(distinct.groupBy(*KEY).count().where(F.col("count") > PATTERNS).select(*KEY), f"{work}/{first}/many")
+            many = materialize(distinct.groupBy(*KEY).count().where(F.col("count") > PATTERNS).select(*KEY), f"{work}/{first}/many", codec=CODEC)
             if many.isEmpty():
                 many = None
         light = occurs if many is None else occurs.join(many, KEY, "left_anti")
-        answers = [materialize(_one_stretch(light, n), f"{work}/{first}/answers", partition_by="sat")]
+        answers = [materialize(_one_stretch(light, n), f"{work}/{first}/answers", partition_by="sat", codec=CODEC)]
         out.append(inserted(answers[0], n, first))
         if many is not None:
             rows, ends = _in_stretches(occurs.join(many, KEY, "left_semi"), n, first, f"{work}/{first}")
@@ -126,11 +141,11 @@ def fold(keys: DataFrame, loads: int, latest: DataFrame | None, work: str) -> Da
                 seen[0] = seen[0].unionByName(more)
             if latest is not None:                              # pks without a load keep their set
                 now[0] = now[0].unionByName(latest.select(*KEY, "hd").join(seen[0].distinct(), KEY, "left_anti"))
-            latest = materialize(now[0], f"{work}/{first}/latest")
+            latest = materialize(now[0], f"{work}/{first}/latest", codec=CODEC)
     rows = out[0]
     for more in out[1:]:
         rows = rows.unionByName(more)
-    return rows
+    return rows, skipped(answers[0], loads) if len(out) == 1 else {}
 
 
 def _in_stretches(occurs: DataFrame, loads: int, first: int, work: str) -> tuple[DataFrame, DataFrame]:
@@ -140,7 +155,7 @@ def _in_stretches(occurs: DataFrame, loads: int, first: int, work: str) -> tuple
         n = min(STRETCH, loads - a)
         mask = F.shiftright("mask", a).bitwiseAND(F.lit((1 << n) - 1).cast("long"))
         part = occurs.select(*KEY, "hd", mask.alias("mask"), "never").join(held, [*KEY, "hd"]).select(*KEY, "hd", *PATTERN)
-        got = materialize(_one_stretch(part, n), f"{work}/stretch{a}")
+        got = materialize(_one_stretch(part, n), f"{work}/stretch{a}", codec=CODEC)
         more = inserted(got, n, first + a)
         rows = more if rows is None else rows.unionByName(more)
         held = got.select(*KEY, "hd", F.col("ends").alias("held"))

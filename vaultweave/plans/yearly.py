@@ -12,7 +12,8 @@ a load at or after the first year, satellites fall back to ``run_year``'s rule p
 
 The staged batch is written once to the work folder (partitioned by load year) instead of being
 recomputed per target: each target then scans only its own columns, and a lost executor costs a
-re-read, not a recomputation of the hashes.
+re-read, not a recomputation of the join behind it. It holds the texts of keys and hash diffs, as do all shuffles of
+a load; they are hashed on the way to the target (``functions.hashing.seal``), or before a join with a target.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultweave.functions.hashing import seal
 from vaultweave.operators.hub import hub_columns, hub_rows
 from vaultweave.operators.link import link_columns, link_rows
 from vaultweave.operators.satellite import candidates, latest_hashdiffs, sat_columns, sat_rows
@@ -32,7 +34,7 @@ from vaultweave.plans.one_scan import split_keys
 from vaultweave.plans.specs import HubSpec, LinkSpec, SatSpec, VaultSpec
 from vaultweave.plans.views import drop_year_views, publish, view_name
 from vaultweave.session import materialize, new_work_dir
-from vaultweave.sources.store import LOAD_YEAR, TableStore
+from vaultweave.sources.store import CODEC, LOAD_YEAR, TableStore
 
 
 def target_columns(t) -> list[str]:
@@ -118,7 +120,7 @@ def _prepare(staged: DataFrame, targets, source: str, path: str, partition_by: s
     # whole source would be computed twice
     reads_twice = any(isinstance(t, SatSpec) or (isinstance(t, HubSpec) and t.dedup_by) for t in users)
     if len(users) > 1 or reads_twice:
-        return materialize(staged, path, partition_by)
+        return materialize(staged, path, partition_by, codec=CODEC)
     return staged
 
 
@@ -132,23 +134,33 @@ def _split(staged: dict[str, DataFrame], targets, one_scan: bool, work: str) ->
     return out
 
 
+def key_rows(stg: DataFrame, t: HubSpec | LinkSpec, firsts: DataFrame | None = None, single_load: bool = False) -> DataFrame:
+    """Rows of a hub or link that the batch holds, known to the target or not. A hub deduped by another key picks the least
+    pk, which is that of the md5."""
+    if isinstance(t, LinkSpec):
+        return link_rows(stg, None, t, single_load=single_load, firsts=firsts)
+    if t.dedup_by:
+        stg, firsts = seal(stg, [t.pk]), None if firsts is None else seal(firsts, [t.pk])
+    return hub_rows(stg, None, t, firsts)
+
+
 def run_load(spark: SparkSession, vault: VaultSpec, staged: dict[str, DataFrame], store: TableStore,
-             load_date: dt.datetime, targets, firsts: dict[str, DataFrame] | None = None) -> None:
+             load_date: dt.datetime, targets, work: str, firsts: dict[str, DataFrame] | None = None) -> None:
     """Apply one load (staged batches with a single run date) to every target. Targets read only the
     staged batch (or their distinct keys in ``firsts``) and their own table, so they are loaded side by side."""
     firsts = firsts or {}
 
     def load(t) -> None:
         stg = staged[t.source]
-        schema = stg.select(*target_columns(t)).schema
-        tgt = store.read(t.name, schema)
-        if isinstance(t, HubSpec):
-            rows = hub_rows(stg, tgt, t, firsts.get(t.name))
-        elif isinstance(t, LinkSpec):
-            rows = link_rows(stg, tgt, t, single_load=True, firsts=firsts.get(t.name))
+        tgt = store.read(t.name, seal(stg).select(*target_columns(t)).schema)
+        if isinstance(t, SatSpec):
+            pks = None
+            if tgt is not None:
+                # written, so that their size is known: few pks are broadcast, and the history is not shuffled to find theirs
+                pks = materialize(seal(stg.where(F.col(t.pk).isNotNull()).select(t.pk).distinct()), f"{work}/keys_{t.name}", codec=CODEC)
+            store.append(sat_rows(stg, near_history(pks, tgt, t) if t.name in store.clustered else tgt, t, load_date, pks), t.name)
         else:
-            rows = sat_rows(stg, near_history(stg, tgt, t) if t.name in store.clustered else tgt, t, load_date)
-        store.append(rows, t.name)
+            store.append_new(key_rows(stg, t, firsts.get(t.name), single_load=True), t.name, tgt, t.pk)
 
     side_by_side(load, targets)
 
@@ -176,7 +188,7 @@ def stage_load(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFra
                year: int | None, load_date: dt.datetime) -> dict[str, DataFrame]:
     staged = {}
     for name in sorted({t.source for t in targets}):
-        s = stage(sources[name], vault.stages[name], year, load_date)
+        s = stage(sources[name], vault.stages[name], year, load_date, texts=True)
         staged[name] = _prepare(s, targets, name, f"{work}/stage_{name}")
     return staged
 
@@ -199,13 +211,13 @@ def run_year(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
             staged = {}
             for name in sorted({t.source for t in targets}):
                 path = f"{work}/stage_{name}"
-                stage(sources[name], vault.stages[name], year, ld).write.mode("overwrite").parquet(path)
+                stage(sources[name], vault.stages[name], year, ld).write.mode("overwrite").option("compression", CODEC).parquet(path)
                 staged[name] = publish(spark, vault, name, year, path, view_database)
         else:
             staged = stage_load(spark, vault, sources, targets, work, year, ld)
             for name, df in staged.items():
-                df.createOrReplaceTempView(view_name(vault, name, year))
-        run_load(spark, vault, staged, store, ld, targets, _split(staged, targets, one_scan, work))
+                seal(df).createOrReplaceTempView(view_name(vault, name, year))
+        run_load(spark, vault, staged, store, ld, targets, work, _split(staged, targets, one_scan, work))
     finally:
         if not (view_database and keep_views):
             drop_year_views(spark, vault, year, view_database)
@@ -234,7 +246,7 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
         src = sources[name]
         if years is not None:
             src = src.where(in_years(spec.time_col, years))
-        s = stage(src, spec).withColumn(LOAD_YEAR, F.year("load_date"))
+        s = stage(src, spec, texts=True).withColumn(LOAD_YEAR, F.year("load_date"))
         staged[name] = _prepare(s, targets, name, f"{work}/stage_{name}", partition_by=LOAD_YEAR)
     if years is None:
         sat_sources = {t.source for t in targets if isinstance(t, SatSpec)}
@@ -242,12 +254,11 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
     years = sorted(set(years))
 
     def schema_of(t):
-        return staged[t.source].select(*target_columns(t)).schema
+        return seal(staged[t.source]).select(*target_columns(t)).schema
 
     def load_keys(t) -> None:
         stg, tgt = staged[t.source].drop(LOAD_YEAR), store.read(t.name, schema_of(t))
-        make = hub_rows if isinstance(t, HubSpec) else link_rows
-        store.append(make(stg, tgt, t, firsts=firsts.get(t.name)), t.name)
+        store.append_new(key_rows(stg, t, firsts.get(t.name)), t.name, tgt, t.pk)
 
     firsts = _split({s: d.drop(LOAD_YEAR) for s, d in staged.items()}, targets, one_scan, work)
     side_by_side(load_keys, [t for t in targets if not isinstance(t, SatSpec)])
@@ -265,11 +276,17 @@ def backfill(spark: SparkSession, vault: VaultSpec, sources: dict[str, DataFrame
                                 dt.datetime(y, 1, 1))
                 store.append(rows, t.name)
         else:
-            folded.append((t, tgt))
+            # a target's rows hold the md5, so the batch that is folded with them does
+            folded.append((t, staged[t.source] if tgt is None else seal(staged[t.source]), tgt))
     if folded:
-        inserted = fold_satellite_keys(spark, [(t, staged[t.source], tgt) for t, tgt in folded], years, f"{work}/sat_state")
-        side_by_side(lambda t: store.append(_inserted_rows(staged[t.source].drop(LOAD_YEAR), t, inserted), t.name),
-                     [t for t, _ in folded])
+        inserted, skipped = fold_both_keys(spark, folded, years, f"{work}/sat_state")
+
+        def load_sat(f) -> None:
+            t, stg = f[0], f[1].drop(LOAD_YEAR)
+            left = materialize(skipped[t.name], f"{work}/sat_state/skipped_{t.name}", codec=CODEC) if t.name in skipped else None
+            store.append(_inserted_rows(stg, t, inserted) if left is None else _rows_without(stg, t, left), t.name)
+
+        side_by_side(load_sat, folded)
     return years
 
 
@@ -279,6 +296,11 @@ def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str)
 
     NULL pks never take part in "latest". A NULL hash diff never matches, so it is always inserted, and it
     still makes its load its pk's latest: it enters as ''."""
+    return fold_both_keys(spark, sats, years, work)[0]
+
+
+def fold_both_keys(spark: SparkSession, sats, years: list[int], work: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The inserted keys as ``fold_satellite_keys``, and by satellite the skipped ones where they are fewer."""
     latest = keys = None
     number = F.element_at(F.create_map(*[F.lit(x) for i, y in enumerate(years) for x in (y, i)]), F.col(LOAD_YEAR))
     for t, staged, tgt in sats:
@@ -290,9 +312,17 @@ def fold_satellite_keys(spark: SparkSession, sats, years: list[int], work: str)
         keys = k if keys is None else keys.unionByName(k)
     if latest is not None:
         latest = materialize(latest, f"{work}/init")
-    out = satfold.fold(keys, len(years), latest, work)
+    out, left = satfold.fold_both(keys, len(years), latest, work)
     year = F.element_at(F.array(*[F.lit(y) for y in years]), F.col("load") + 1)
-    return out.select("sat", "pk", "hd", F.make_timestamp_ntz(year, *[F.lit(x) for x in (1, 1, 0, 0, 0)]).alias("load_date"))
+    dated = lambda d: d.select("sat", "pk", "hd", F.make_timestamp_ntz(year, *[F.lit(x) for x in (1, 1, 0, 0, 0)]).alias("load_date"))
+    return dated(out), {s: dated(d) for s, d in left.items()}
+
+
+def _rows_without(staged: DataFrame, t: SatSpec, skipped: DataFrame) -> DataFrame:
+    """Distinct batch rows but those of the skipped (pk, hashdiff, load) keys: the rows of ``_inserted_rows``. Few skipped keys
+    are broadcast (their written size is known), and the batch is not shuffled for the join."""
+    keys = skipped.select(F.col("pk").alias(t.pk), F.col("hd").alias(t.hashdiff), "load_date")
+    return candidates(staged, t).join(keys, [t.pk, t.hashdiff, "load_date"], "left_anti").select(*sat_columns(t))
 
 
 def _inserted_rows(staged: DataFrame, t: SatSpec, inserted: DataFrame) -> DataFrame:

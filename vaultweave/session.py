@@ -49,9 +49,11 @@ def new_work_dir(spark: SparkSession, label: str = "run") -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/vaultweave/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, path: str, partition_by: str | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` to ``path`` and read it back: cuts lineage, survives executor loss."""
     w = df.write.mode("overwrite")
+    if codec:
+        w = w.option("compression", codec)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from vaultweave.sources.store import LOAD_YEAR, TableStore
+from vaultweave.functions.hashing import seal
+from vaultweave.sources.store import CODEC, LOAD_YEAR, TableStore
 
 
 class CatalogStore(TableStore):
@@ -49,8 +50,8 @@ class CatalogStore(TableStore):
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != part)
         key, near = self.keys.get(table), self.clustered.get(table)
         bucketed = f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {self.buckets} BUCKETS" if key else ""
-        bloom = f"OPTIONS ('parquet.bloom.filter.enabled#{near}' = 'true')" if near else ""
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({cols}, `{part}` INT) USING parquet {bloom} "
+        bloom = f", 'parquet.bloom.filter.enabled#{near}' = 'true'" if near else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({cols}, `{part}` INT) USING parquet OPTIONS ('compression' = '{CODEC}'{bloom}) "
                        f"PARTITIONED BY (`{part}`) {bucketed} LOCATION '{self.path(table)}'")
         if found:
             self.spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
@@ -62,17 +63,31 @@ class CatalogStore(TableStore):
             self.create(name, StructType([*schema.fields, StructField(LOAD_YEAR, IntegerType())]), LOAD_YEAR)
         return self.spark.table(self.name(name))
 
-    def append(self, rows: DataFrame, name: str) -> None:
+    def _dealt(self, rows: DataFrame, key: str) -> DataFrame:
+        return seal(rows, [key]).repartition(self.buckets, key)
+
+    def append(self, rows: DataFrame, name: str, dealt: bool = False) -> None:
+        """``dealt``: a bucketed table's rows already lie by bucket."""
         rows = rows.withColumn(LOAD_YEAR, F.year("load_date"))
         self.create(name, rows.schema, LOAD_YEAR)
         key, near = self.keys.get(name), self.clustered.get(name)
         if key:                                                 # a task writes one bucket: one file per bucket and year
-            rows = rows.repartition(self.buckets, key)
+            rows = rows if dealt else self._dealt(rows, key)
         elif near:
-            rows = rows.repartitionByRange(LOAD_YEAR, near).sortWithinPartitions(LOAD_YEAR, near)
+            rows = seal(rows, [near]).repartitionByRange(LOAD_YEAR, near).sortWithinPartitions(LOAD_YEAR, near)
         else:
             rows = rows.hint("rebalance", LOAD_YEAR)
-        rows.select(*self.spark.table(self.name(name)).columns).write.insertInto(self.name(name))
+        seal(rows).select(*self.spark.table(self.name(name)).columns).write.insertInto(self.name(name))
+
+    def append_new(self, rows: DataFrame, name: str, tgt: DataFrame | None, key: str) -> None:
+        """The batch is dealt by bucket once, for the anti join and for the files."""
+        if self.keys.get(name) != key:
+            super().append_new(rows, name, tgt, key)
+            return
+        rows = self._dealt(rows, key)
+        if tgt is not None:
+            rows = rows.join(tgt.select(key), key, "left_anti")
+        self.append(rows, name, dealt=True)
 
     def overwrite_year(self, rows: DataFrame, name: str, year: int, col: str = "year") -> None:
         rows = rows.drop(col)

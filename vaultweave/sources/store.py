@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from vaultweave.functions.hashing import seal
+
 LOAD_YEAR = "load_year"
+#: keys and hash diffs are hex digits, half of which an entropy coder saves
+CODEC = "zstd"
 
 
 class TableStore:
@@ -57,9 +61,16 @@ class TableStore:
         return df.drop(LOAD_YEAR)
 
     def append(self, rows: DataFrame, name: str) -> None:
-        """One commit; rows are gathered by load year first, so a year gets few files (a large year is split)."""
-        (rows.withColumn(LOAD_YEAR, F.year("load_date")).hint("rebalance", LOAD_YEAR)
-             .write.mode("append").partitionBy(LOAD_YEAR).parquet(self.path(name)))
+        """One commit; rows are gathered by load year first, so a year gets few files (a large year is split). Texts of
+        keys are hashed on the way to the file, after the rows were gathered."""
+        (seal(rows.withColumn(LOAD_YEAR, F.year("load_date")).hint("rebalance", LOAD_YEAR))
+         .write.mode("append").option("compression", CODEC).partitionBy(LOAD_YEAR).parquet(self.path(name)))
+
+    def append_new(self, rows: DataFrame, name: str, tgt: DataFrame | None, key: str) -> None:
+        """Append the rows whose ``key`` is not in ``tgt``, the table so far."""
+        if tgt is not None:
+            rows = seal(rows, [key]).join(tgt.select(key), key, "left_anti")
+        self.append(rows, name)
 
     def overwrite_years(self, rows: DataFrame, name: str, col: str = "year") -> None:
         """Replace the partitions that ``rows`` holds, in one commit; others stay."""
