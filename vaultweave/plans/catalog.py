@@ -33,12 +33,12 @@ from vaultweave.operators.ods import ods_load
 from vaultweave.operators.staging import stage
 from vaultweave.plans.lake import reload_slice, run_lake_year
 from vaultweave.plans.specs import DWL, FP, VaultSpec
-from vaultweave.plans.yearly import backfill, run_year, target_columns
+from vaultweave.plans.yearly import backfill, in_years, run_year, target_columns
 from vaultweave.plans.views import publish
-from vaultweave.session import new_work_dir
+from vaultweave.session import materialize, new_work_dir
 from vaultweave.sources.catalog_store import CatalogStore
 from vaultweave.sources.fixtures import dirty_payment, ods_source, stg_source, traffic_of_years
-from vaultweave.sources.store import TableStore
+from vaultweave.sources.store import CODEC, LOAD_YEAR, TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,24 @@ def vault_store(spark: SparkSession, vault: VaultSpec, work: str) -> CatalogStor
 INCREMENTAL = tuple(t.name for t in FP.targets())
 
 
+#: sources that join tables: queries of several loads write them once
+JOINED = ("billing", "issue")
+
+
+def source_by_year(src: DataFrame, source: str, time_col: str, path: str, loads: tuple[int, ...] = ()) -> tuple[DataFrame, list[int]]:
+    """A source for one load after the other, and the years to load: ``loads`` or all. A joined one is written once, by year,
+    so that a load reads its own year and joins nothing again."""
+    if source not in JOINED:
+        return src, list(loads) or sorted(r[0] for r in src.select(F.year(time_col)).distinct().collect() if r[0] is not None)
+    kept = src.where(in_years(time_col, list(loads)) if loads else F.col(time_col).isNotNull())
+    rows = materialize(kept.withColumn(LOAD_YEAR, F.year(time_col)), path, LOAD_YEAR, codec=CODEC)
+    return rows, list(loads) or TableStore(src.sparkSession, path).years(path)
+
+
+def of_year(src: DataFrame, year: int) -> DataFrame:
+    return src.where(F.col(LOAD_YEAR) == year).drop(LOAD_YEAR) if LOAD_YEAR in src.columns else src
+
+
 def incremental_target(vault: VaultSpec, name: str, source: Callable | None = None, loads: tuple[int, ...] = ()) -> Query:
     """One scheduled run per load: ``loads`` in the order given, or every year in the data."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,10 +109,9 @@ def incremental_target(vault: VaultSpec, name: str, source: Callable | None = No
         src = source(spark, sf_dir) if source else ods_source(spark, sf_dir, t.source)
         work = new_work_dir(spark, f"inc-{name}")
         store = vault_store(spark, vault, work)
-        time_col = vault.stages[t.source].time_col
-        years = loads or sorted(r[0] for r in src.select(F.year(time_col)).distinct().collect() if r[0] is not None)
+        rows, years = source_by_year(src, t.source, vault.stages[t.source].time_col, f"{work}/source", loads)
         for i, y in enumerate(years):
-            run_year(spark, vault, {t.source: src}, store, y, only=[name], work_dir=f"{work}/{i}-{y}")
+            run_year(spark, vault, {t.source: of_year(rows, y)}, store, y, only=[name], work_dir=f"{work}/{i}-{y}")
         schema = stage(src, vault.stages[t.source]).select(*target_columns(t)).schema
         return store.read_public(name, schema)
     return run
@@ -131,10 +148,10 @@ def view_stage(vault: VaultSpec, source: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         src, spec = ods_source(spark, sf_dir, source), vault.stages[source]
         work = new_work_dir(spark, f"view-{source}")
-        years = sorted(r[0] for r in src.select(F.year(spec.time_col)).distinct().collect() if r[0] is not None)
+        rows, years = source_by_year(src, source, spec.time_col, f"{work}/source")
         out = stage(src, spec).limit(0)
         for y in years:
-            stage(src, spec, y).write.parquet(f"{work}/{y}")
+            stage(of_year(rows, y), spec, y).write.option("compression", CODEC).parquet(f"{work}/{y}")
             out = out.unionByName(publish(spark, vault, source, y, f"{work}/{y}", database_of(work)))
         return out
     return run
