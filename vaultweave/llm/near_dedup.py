@@ -19,7 +19,10 @@ links are merged to components, ``PIVOTS`` times with other pivots. Documents th
 different components get lists of their whole sets: a similar pair shares one of the ``n - ceil(n * percent / 100) + 1``
 first shingles of either side in any common order, and the order is rarest first, by a histogram of all their shingles
 in ``BUCKETS`` counters. So documents that only share a template, however many, have no list in common, as long as their own
-shingles fill that prefix. What lies in one such list and in different components is compared in blocks of about
+shingles fill that prefix. A similar pair shares not one but ``_common`` of these shingles at least; pairs of a list of up to
+``LIST`` documents that share as many and whose sketches allow a link, and the members of each longer list, are connected to
+families. So single shingles that unrelated documents share by chance, which grow more with the corpus, tie no families
+together. What lies in one family and in different components is compared in blocks of about
 ``BLOCK`` documents: a task holds two blocks, takes overlaps, estimates and exact sizes as products of 0/1 matrices, and
 returns only as many links as connect what is linked. Pairs inside a component cannot change the result and are left out.
 
@@ -51,6 +54,8 @@ K = 48
 MISS = 3e-9
 PIVOTS = 2
 BLOCK = 512
+#: longest list of whole sets whose pairs are formed one by one
+LIST = 256
 #: counters of the histogram that orders shingles; collisions cost lists, never links
 BUCKETS = 1 << 17
 _U = np.uint64
@@ -146,6 +151,13 @@ def _estimate(a: str, b: str, k: int) -> Column:
     return F.size(F.array_intersect(F.array_intersect(union, F.col(a)), F.col(b))) / F.size(union)
 
 
+def _likely(pairs: DataFrame, sketches: DataFrame, k: int, least: float) -> DataFrame:
+    """Pairs ``u, v`` whose sketches share ``least`` of the union's sketch."""
+    su = sketches.select(F.col("rep").alias("u"), F.col("sketch").alias("su"))
+    sv = sketches.select(F.col("rep").alias("v"), F.col("sketch").alias("sv"))
+    return pairs.join(su, "u").join(sv, "v").filter(_estimate("su", "sv", k) >= least).select("u", "v")
+
+
 def _with_component(lists: DataFrame, comp: DataFrame) -> DataFrame:
     return lists.join(comp, lists["rep"] == comp["node"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("comp"))
 
@@ -173,31 +185,54 @@ def _histogram(batches):
 
 
 def _prefixes(often: np.ndarray, percent: int):
-    """``value, rep, comp``: the rarest shingles of each set, one of which a similar set shares."""
+    """``value, rep, comp, n``: the rarest shingles of each set of ``n``, one of which a similar set shares."""
     def run(batches):
         for batch in batches:
             rep, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             for i, sets in _sets_of(batch.column(2)):
                 kept = [v[np.lexsort((v, often[_bucket(v)]))[:len(v) - -(-len(v) * percent // 100) + 1]] if len(v) else v for v in sets]
                 row = np.repeat(np.arange(i, i + len(sets)), [len(v) for v in kept])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*kept, np.zeros(0, np.int64)])), pa.array(rep[row]), pa.array(comp[row])],
-                                                 ["value", "rep", "comp"])
+                n = np.array([len(v) for v in sets], np.int64)[row - i]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*kept, np.zeros(0, np.int64)])), pa.array(rep[row]), pa.array(comp[row]), pa.array(n)],
+                                                 ["value", "rep", "comp", "n"])
     return run
 
 
 def _apart(lists: DataFrame) -> DataFrame:
-    """Rows (value, rep, comp) of lists that hold more than one component."""
-    several = lists.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("value")
-    return lists.join(several, "value", "left_semi").select("value", "rep", "comp")
-
-
-def _block_pairs(live: DataFrame) -> DataFrame:
-    """``pair, side, rep, comp``: documents whose lists connect them form a group; a group is cut into blocks of
-    about ``BLOCK`` documents, and each two blocks meet in one pair, but for blocks of one and the same component.
-    Small groups share blocks, which meet themselves only."""
-    stars = live.join(live.groupBy("value").agg(F.min("rep").alias("v")), "value").select(F.col("rep").alias("u"), "v").distinct()
-    group = components(stars).withColumnRenamed("node", "rep").withColumnRenamed("component", "grp")
-    member = saved(live.select("rep", "comp").distinct().join(group, "rep"), "near")
+    """Rows of lists that hold more than one component, with the list's length and least rep."""
+    several = (lists.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("length"), F.min("rep").alias("least"))
+               .filter("lo != hi").select("value", "length", "least"))
+    return lists.join(several, "value")
+
+
+def _common(n: Column, m: Column, percent: int) -> Column:
+    """How many shingles the prefixes of a similar pair of sets of ``n`` and ``m`` share at least: of its ``both`` common
+    shingles a set has at most ``n - both`` others, and the prefix that ends first, in the one order of all, is short of
+    ``ceil(n * percent / 100) - 1``."""
+    both = F.ceil((n + m) * percent / F.lit(100 + percent))
+    return 1 + both - F.ceil(F.greatest(n, m) * percent / F.lit(100))
+
+
+def _families(live: DataFrame, sketches: DataFrame, percent: int, k: int, least: float) -> DataFrame:
+    """``rep, comp, grp``: what pairs that may be similar connect, each in different components.
+    A pair shares either only values of short lists, whose number decides, or one of a long list, which connects all it holds."""
+    stars = live.filter(F.col("length") > LIST).select(F.col("rep").alias("u"), F.col("least").alias("v")).filter("u != v").distinct()
+    # lists with the same members, of which families have many, become one
+    short = (live.filter(F.col("length") <= LIST).groupBy("value").agg(F.sort_array(F.collect_list(F.struct("rep", "n", "comp"))).alias("docs"))
+             .groupBy("docs").agg(F.count("*").alias("times")))
+    two = (short.select("docs", "times", F.posexplode("docs").alias("i", "a"))
+           .select("times", "a", F.explode(F.slice("docs", F.col("i") + 2, F.size("docs"))).alias("b"))
+           .filter((F.col("a.comp") != F.col("b.comp")) & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)))
+    pairs = (two.groupBy(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
+             .agg(F.sum("times").alias("shared"), F.max(_common(F.col("a.n"), F.col("b.n"), percent)).alias("need")).filter("shared >= need"))
+    edges = _likely(pairs.select("u", "v"), sketches, k, least).unionByName(stars)
+    group = components(edges).withColumnRenamed("node", "rep").withColumnRenamed("component", "grp")
+    return saved(live.select("rep", "comp").distinct().join(group, "rep"), "near")
+
+
+def _block_pairs(member: DataFrame) -> DataFrame:
+    """``pair, side, rep, comp``: a group is cut into blocks of about ``BLOCK`` documents, and each two blocks meet
+    in one pair, but for blocks of one and the same component. Small groups share blocks, which meet themselves only."""
     size = member.groupBy("grp", "comp").agg(F.count("*").alias("n_comp"))
     whole = size.groupBy("grp").agg(F.sum("n_comp").alias("n_grp"), F.sum(F.when(F.col("n_comp") < BLOCK, F.col("n_comp")).otherwise(0)).alias("n_rest"))
     small = whole.filter(F.col("n_grp") < BLOCK).agg(F.coalesce(F.sum("n_grp"), F.lit(0))).first()[0]
@@ -329,9 +364,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         close = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent  # sizes alone allow a link
         pairs = (now.join(spread.select("value", "p"), "value").filter((F.col("comp") != F.col("p.comp")) & close)
                  .select(F.least("rep", "p.rep").alias("u"), F.greatest("rep", "p.rep").alias("v")).distinct())
-        su = sketches.select(F.col("rep").alias("u"), F.col("sketch").alias("su"))
-        sv = sketches.select(F.col("rep").alias("v"), F.col("sketch").alias("sv"))
-        likely = pairs.join(su, "u").join(sv, "v").filter(_estimate("su", "sv", k) >= need_large / k).select("u", "v")
+        likely = _likely(pairs, sketches, k, need_large / k)
         tu = texts.select(F.col("rep").alias("u"), F.col("text").alias("tu"))
         tv = texts.select(F.col("rep").alias("v"), F.col("text").alias("tv"))
         new = saved(likely.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv")
@@ -347,9 +380,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         counters = texts.mapInArrow(_histogram, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # BUCKETS rows at most
         often = np.zeros(BUCKETS, np.int64)
         often[[r.bucket for r in counters]] = [r.n for r in counters]
-        live = saved(_apart(texts.mapInArrow(_prefixes(often, percent), "value long, rep long, comp long")), "near")
-        if not live.isEmpty():
-            pairs = _block_pairs(live).join(texts.select("rep", "text"), "rep")
+        live = saved(_apart(texts.mapInArrow(_prefixes(often, percent), "value long, rep long, comp long, n long")), "near")
+        member = _families(live, sketches, percent, k, need_large / k)
+        if not member.isEmpty():
+            pairs = _block_pairs(member).join(texts.select("rep", "text"), "rep")
             new = saved(pairs.groupBy("pair").applyInArrow(_linker(percent, k, need_large), "u long, v long"), "near")
             if not new.isEmpty():
                 comp = components(links.unionByName(new))
