@@ -17,6 +17,22 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"{new_work_dir(df.sparkSession, label)}/t")
 
 
+#: Spark's switch that drops a statement's shuffle files when it has ended
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved_alone(df: DataFrame, label: str) -> DataFrame:
+    """``saved``, with the shuffle files of this write gone when it has ended: otherwise they stay on the executors'
+    disks until the driver happens to collect its garbage, those of all steps so far together."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, None)
+    conf.set(CLEAN_UP, "true")
+    try:
+        return saved(df, label)
+    finally:
+        conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """``names``, each with as many underscores in front as keep it apart from ``columns`` (in any case)."""
     taken, out = {c.lower() for c in columns}, []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultweave.llm.common import saved
+from vaultweave.llm.common import saved_alone as saved
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:

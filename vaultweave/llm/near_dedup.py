@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultweave.llm import textbytes as tb
-from vaultweave.llm.common import saved, table
+from vaultweave.llm.common import saved_alone as saved, table
 from vaultweave.llm.components import components
 
 SHINGLE = 5
